@@ -1,0 +1,18 @@
+"""Broadcasting behind a check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when `df` has at most `max_rows` rows.
+
+    Counts no further than one row past the bound. Above it the frame comes
+    back without a hint and the join shuffles.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
