@@ -357,3 +357,23 @@ SELECT event_id, {_text('et')} AS time_text, ts // 1000 * 1000 AS millis,
     "document_words": f"SELECT doc_id, {_WORDS.format('text')} AS word FROM documents",
     "source_unpivot": f"{_INTERACTIONS} SELECT stt, sku_id, source, ct FROM sources",
 }
+
+SQL |= {
+    f"{name}_stream": SQL[name]
+    for name in (
+        "new_visitor_flag", "daily_unique_visitor", "user_jump", "user_jump_timeout_only",
+        "order_wide_interval", "payment_wide_interval", "dim_enrich", "visitor_stats",
+        "product_stats", "province_stats", "search_keyword_count", "product_keyword_sum",
+        "display_explode",
+    )
+}
+SQL |= {
+    "log_landing_stream": f"{_PAGES} SELECT mid, ts, page_id FROM logs",
+    "routed_facts_stream": f"""WITH {CHANGE_CTES}
+SELECT sink_table, data FROM routed WHERE sink_type = 'kafka'""",
+    "upserted_dims_stream": f"""WITH {CHANGE_CTES}
+SELECT sink_table, id, coalesce(c_name, p_name) AS name FROM routed
+LEFT JOIN customer ON sink_table = 'dim_user_info' AND id = CAST(c_custkey AS VARCHAR)
+LEFT JOIN part ON sink_table = 'dim_sku_info' AND id = CAST(p_partkey AS VARCHAR)
+WHERE sink_type = 'hbase'""",
+}

@@ -307,7 +307,7 @@ def _changes(s: Shop) -> DataFrame:
     return parse_json(s.raw_changes(), schemas.CHANGE)[0]
 
 
-def data_text(c: str = "data"):
+def data_text(c="data"):
     """A map as text in key order."""
     entries = F.array_sort(F.map_entries(c))
     return F.array_join(

@@ -102,13 +102,13 @@ class Shop:
         body = F.struct(*[c for c in logs.columns if c != "tie"])
         return logs.select("tie", F.to_json(body).alias("value"))
 
-    def pages(self, delay: str = "3 seconds") -> DataFrame:
-        """Page records with visitor and event time."""
+    def pages(self, delay: str | None = "3 seconds") -> DataFrame:
+        """Page records with visitor and event time; on streams a watermark."""
         logs = self.logs().filter(F.col("page").isNotNull())
         timed = logs.withColumns(
             {"mid": F.col("common.mid"), "et": millis_to_timestamp("ts")}
         )
-        return timed.withWatermark("et", delay) if timed.isStreaming else timed
+        return timed.withWatermark("et", delay) if delay and timed.isStreaming else timed
 
     # --- database topics ----------------------------------------------------
 

@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tillwater.functions import day_of, micros
 
-_OUT = ["_key", "_us", "_tie", "_wt", "_row"]
-_OUT_SCHEMA = "_key string, _us long, _tie long, _wt timestamp, _row string"
+# No leading underscores: the state runner would rename such columns.
+_OUT = ["first_key", "first_us", "first_tie", "first_wt", "first_row"]
+_OUT_SCHEMA = "first_key string, first_us long, first_tie long, first_wt timestamp, first_row string"
 # Keeps microseconds when a record passes the state as text.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -32,10 +33,10 @@ class FirstInScope(StatefulProcessor):
         self._scope = handle.getValueState("scope", "scope string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        windows = pd.concat(list(rows)).sort_values(["_us", "_tie"])
+        windows = pd.concat(list(rows)).sort_values(["first_us", "first_tie"])
         current = self._scope.get()[0] if self._scope.exists() else None
         opened = []
-        for scope in windows["_scope"]:
+        for scope in windows["scope"]:
             opened.append(scope != current)
             current = scope
         if any(opened):
@@ -47,19 +48,19 @@ class FirstInScope(StatefulProcessor):
 
 
 def _firsts(pages: DataFrame, key, ts, tie, window, scope, row) -> DataFrame:
-    order = F.struct(F.unix_micros(ts).alias("_us"), F.col(tie).cast("long").alias("_tie"))
+    order = F.struct(F.unix_micros(ts).alias("first_us"), F.col(tie).cast("long").alias("first_tie"))
     per_window = pages.groupBy(
         F.window(ts, window).alias("_w"),
-        F.col(key).cast("string").alias("_key"),
-        scope.alias("_scope"),
+        F.col(key).cast("string").alias("first_key"),
+        scope.alias("scope"),
     ).agg(F.min(order).alias("_first"), F.min_by(row, order).alias("_record"))
     windows = per_window.select(
-        "_key", "_scope", "_first._us", "_first._tie",
-        F.window_time("_w").alias("_wt"),
-        F.to_json("_record", _JSON).alias("_row"),
+        "first_key", "scope", "_first.first_us", "_first.first_tie",
+        F.window_time("_w").alias("first_wt"),
+        F.to_json("_record", _JSON).alias("first_row"),
     )
-    return windows.groupBy("_key").transformWithStateInPandas(
-        FirstInScope(), _OUT_SCHEMA, "Append", "EventTime", eventTimeColumnName="_wt"
+    return windows.groupBy("first_key").transformWithStateInPandas(
+        FirstInScope(), _OUT_SCHEMA, "Append", "EventTime", eventTimeColumnName="first_wt"
     )
 
 
@@ -73,7 +74,7 @@ def daily_unique_stream(
     schema = pages.select(row.alias("r")).schema["r"].dataType
     day = day_of(ts, tz).cast("string")
     firsts = _firsts(pages, key, ts, tie, window, day, row)
-    back = firsts.select(F.from_json("_row", schema, _JSON).alias("r")).select("r.*")
+    back = firsts.select(F.from_json("first_row", schema, _JSON).alias("r")).select("r.*")
     return back.withColumn(ts, F.timestamp_micros("_event_us")).select(*pages.columns)
 
 
@@ -89,18 +90,18 @@ def flag_new_visitors_stream(
     """
     firsts = _firsts(
         pages, key, ts, tie, window, F.lit("ever"), F.struct(F.lit(1).alias("one"))
-    ).drop("_row")
+    ).drop("first_row")
     span = F.expr(f"INTERVAL '{micros(window)}' MICROSECOND")
     joined = pages.join(
         firsts,
-        (F.col(key).cast("string") == F.col("_key"))
-        & (F.unix_micros(ts) == F.col("_us"))
-        & (F.col(tie).cast("long") == F.col("_tie"))
-        & (F.col(ts) <= F.col("_wt"))
-        & (F.col(ts) > F.col("_wt") - span),
+        (F.col(key).cast("string") == F.col("first_key"))
+        & (F.unix_micros(ts) == F.col("first_us"))
+        & (F.col(tie).cast("long") == F.col("first_tie"))
+        & (F.col(ts) <= F.col("first_wt"))
+        & (F.col(ts) > F.col("first_wt") - span),
         "left_outer",
     )
     kept = [c for c in pages.columns if c != flag]
     return joined.select(
-        *kept, F.when(F.col("_us").isNull(), 0).otherwise(1).alias(flag)
+        *kept, F.when(F.col("first_us").isNull(), 0).otherwise(1).alias(flag)
     )

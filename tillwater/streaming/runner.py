@@ -58,11 +58,11 @@ def run_stage(
     }
 
 
-def drain_to_files(
+def drain_to_folder(
     spark: SparkSession, df: DataFrame, purpose: str, state_partitions: int | None = None,
     **options,
-) -> DataFrame:
-    """Run a stream over all present input into a scratch table and read it."""
+) -> str:
+    """Run a stream over all present input into a scratch table; its folder."""
     base = scratch_dir(spark, purpose)
     writer = df.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out")
     query = start(
@@ -71,7 +71,7 @@ def drain_to_files(
         **options,
     )
     query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{base}/out")
+    return f"{base}/out"
 
 
 def late_rows(query: StreamingQuery) -> int:
