@@ -16,6 +16,7 @@ from tillwater.functions.times import (
     day_key,
     day_of,
     day_range,
+    event_time,
     hour_of,
     hour_part,
     local_text,
@@ -31,7 +32,7 @@ from tillwater.functions.times import (
 
 __all__ = [
     "age_years", "any_positive", "date_part", "day_key", "day_of", "day_range",
-    "drop_bootstrap", "hour_of", "hour_part", "is_blank", "keep_keys",
+    "drop_bootstrap", "event_time", "hour_of", "hour_part", "is_blank", "keep_keys",
     "local_text", "micros", "millis_to_text", "millis_to_timestamp", "now_millis",
     "parse_time", "positive_sources", "source_weight", "text_to_millis",
     "time_text", "timestamp_to_millis", "tokenize", "upper_keys",

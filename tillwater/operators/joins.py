@@ -39,14 +39,13 @@ def interval_join(
     )
     if left.isStreaming or right.isStreaming:
         return left.join(right, match)
-    width = F.lit(micros(slice) if slice else max(high - low, 1) * SLICES_PER_SPAN)
+    width = micros(slice) if slice else max(high - low, 1) * SLICES_PER_SPAN
 
     def slice_of(ts: str, shift: int = 0) -> Column:
-        return F.floor((F.unix_micros(ts) + F.lit(shift)) / width)
+        at = F.unix_micros(ts) + F.lit(shift)
+        return at - F.pmod(at, F.lit(width))
 
-    touched = F.array_distinct(F.array(slice_of(left_ts, low), slice_of(left_ts, high)))
-    if slice and micros(slice) < high - low:
-        touched = F.sequence(slice_of(left_ts, low), slice_of(left_ts, high))
+    touched = F.sequence(slice_of(left_ts, low), slice_of(left_ts, high), F.lit(width))
     sliced_left = left.withColumn("_left_slice", F.explode(touched))
     sliced_right = right.withColumn("_right_slice", slice_of(right_ts))
     joined = sliced_left.join(

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwater.functions import is_blank, millis_to_timestamp, parse_time
+from tillwater.functions import event_time, is_blank, millis_to_timestamp
 from tillwater.schemas import PRODUCT_AMOUNTS, PRODUCT_COUNTS
 
 VISITOR_KEYS = ("vc", "ch", "ar", "is_new")
@@ -90,16 +90,16 @@ def displays(shown: DataFrame) -> DataFrame:
 
 
 def favors(favor: DataFrame) -> DataFrame:
-    return _product_row(favor, F.col("sku_id"), parse_time("create_time"), favor_ct=1)
+    return _product_row(favor, F.col("sku_id"), event_time(favor, "create_time"), favor_ct=1)
 
 
 def carts(cart: DataFrame) -> DataFrame:
-    return _product_row(cart, F.col("sku_id"), parse_time("create_time"), cart_ct=1)
+    return _product_row(cart, F.col("sku_id"), event_time(cart, "create_time"), cart_ct=1)
 
 
 def orders(wide: DataFrame) -> DataFrame:
     return _product_row(
-        wide, F.col("sku_id"), millis_to_timestamp("ts"), "order", F.col("order_id"),
+        wide, F.col("sku_id"), event_time(wide, "create_time"), "order", F.col("order_id"),
         order_sku_num=F.coalesce("sku_num", F.lit(0)),
         order_amount=F.col("split_total_amount"),
     )
@@ -107,21 +107,21 @@ def orders(wide: DataFrame) -> DataFrame:
 
 def payments(wide: DataFrame) -> DataFrame:
     return _product_row(
-        wide, F.col("sku_id"), parse_time("payment_create_time"), "paid",
+        wide, F.col("sku_id"), event_time(wide, "payment_create_time"), "paid",
         F.col("order_id"), payment_amount=F.col("split_total_amount"),
     )
 
 
 def refunds(refund: DataFrame) -> DataFrame:
     return _product_row(
-        refund, F.col("sku_id"), parse_time("create_time"), "refund",
+        refund, F.col("sku_id"), event_time(refund, "create_time"), "refund",
         F.col("order_id"), refund_amount=F.col("total_amount"),
     )
 
 
 def comments(comment: DataFrame) -> DataFrame:
     return _product_row(
-        comment, F.col("sku_id"), parse_time("create_time"), comment_ct=1,
+        comment, F.col("sku_id"), event_time(comment, "create_time"), comment_ct=1,
         good_comment_ct=F.coalesce(F.col("appraise").isin(*GOOD_APPRAISALS), F.lit(False)),
     )
 

@@ -17,13 +17,16 @@ def parse_json(
     """
     keep = [c for c in df.columns if c != value]
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = df.withColumn(
-        "_parsed",
-        F.from_json(value, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}),
+    record = F.from_json(
+        value, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
+    # Unpacked by a generator, so that filters on the fields stay above it and
+    # each text is parsed once. Read as plain struct fields, it would be parsed
+    # for the filter and again for the output.
+    parsed = df.select(*keep, value, F.explode(F.array(record)).alias("_parsed"))
     broken = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
     good = parsed.filter(~broken).select(
-        *keep, *[F.col(f"_parsed.`{f.name}`").alias(f.name) for f in schema.fields]
+        *keep, *[F.col(f"_parsed.`{name}`").alias(name) for name in schema.names]
     )
     return good, parsed.filter(broken).select(*keep, value)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillwater.functions import (
-    any_positive, local_text, parse_time, positive_sources, tokenize,
+    any_positive, event_time, local_text, parse_time, positive_sources, tokenize,
 )
 from tillwater.operators import measures as m
 from tillwater.schemas import PRODUCT_AMOUNTS, PRODUCT_COUNTS, PRODUCT_ORDER_COUNTS
@@ -78,7 +78,7 @@ def province_stats(
 ) -> DataFrame:
     """Order amount and distinct orders per province and window."""
     rows = wide.select(
-        parse_time("create_time").alias("et"), "order_id",
+        event_time(wide, "create_time").alias("et"), "order_id",
         F.col("split_total_amount").cast("decimal(20,2)").alias("amount"),
         *[F.col(source).alias(name) for name, source in PROVINCE_KEYS.items()],
     )

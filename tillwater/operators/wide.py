@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillwater.functions import (
-    age_years, date_part, hour_part, parse_time, text_to_millis,
+    age_years, date_part, event_time, hour_part, timestamp_to_millis,
 )
 from tillwater.operators.joins import Dim, interval_join
 
@@ -26,8 +26,8 @@ _FROM_PAYMENT = (
 
 
 def _timed(df: DataFrame, prefix: str, delay: str) -> DataFrame:
-    """Prefix all columns and add the event time parsed from create_time."""
-    timed = df.withColumn("et", parse_time("create_time"))
+    """Prefix all columns and add the event time, `et`."""
+    timed = df.withColumn("et", event_time(df, "create_time"))
     if df.isStreaming:
         timed = timed.withWatermark("et", delay)
     return timed.select([F.col(c).alias(prefix + c) for c in timed.columns])
@@ -55,7 +55,7 @@ def order_wide(
         *[F.col(f"o_{c}").alias(c) for c in _FROM_ORDER if c in have_o],
         date_part("o_create_time").alias("create_date"),
         hour_part("o_create_time").alias("create_hour"),
-        text_to_millis("o_create_time").alias("ts"),
+        timestamp_to_millis("o_et").alias("ts"),
     )
 
 
@@ -80,7 +80,7 @@ def payment_wide(
         F.col("w_create_time").alias("order_create_time"),
         *[F.col(f"p_{c}").alias(c) for c in paid],
         *[F.col(f"w_{c}").alias(c) for c in kept],
-        text_to_millis("p_create_time").alias("ts"),
+        timestamp_to_millis("p_et").alias("ts"),
     )
 
 

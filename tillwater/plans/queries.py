@@ -123,8 +123,7 @@ def gmv_by_category(spark, sf_dir):
 
 def gmv_by_product(spark, sf_dir):
     s = shop(spark, sf_dir)
-    lines = s.order_detail().withColumn("ts", fn.text_to_millis("create_time"))
-    totals = stats.product_stats([m.orders(lines)], DAY)
+    totals = stats.product_stats([m.orders(s.order_detail())], DAY)
     days = dash.product_days(totals, s.product_dims(), orders=True)
     return plain(dash.gmv_by(days, ["spu_id", "spu_name"], orders=True))
 

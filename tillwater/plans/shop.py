@@ -115,7 +115,7 @@ class Shop:
     def order_info(self) -> DataFrame:
         total = F.col("o_totalprice").cast("decimal(20,2)")
         nothing = F.lit(0).cast("decimal(20,2)")
-        created = time_text(F.col("o_orderdate").cast("timestamp"))
+        created = F.col("o_orderdate").cast("timestamp")
         return self.read("orders").select(
             F.col("o_orderkey").alias("id"),
             F.pmod("o_custkey", F.lit(25)).alias("province_id"),
@@ -123,7 +123,8 @@ class Shop:
             F.col("o_custkey").alias("user_id"),
             total.alias("total_amount"), nothing.alias("activity_reduce_amount"),
             nothing.alias("coupon_reduce_amount"), total.alias("original_total_amount"),
-            nothing.alias("feight_fee"), created.alias("create_time"),
+            nothing.alias("feight_fee"), time_text(created).alias("create_time"),
+            created.alias("et"),
         )
 
     def order_detail(self) -> DataFrame:
@@ -135,6 +136,7 @@ class Shop:
             F.col("l_partkey").alias("sku_id"),
             F.col("l_quantity").cast("long").alias("sku_num"),
             time_text(F.col("l_shipdate").cast("timestamp")).alias("create_time"),
+            F.col("l_shipdate").cast("timestamp").alias("et"),
             price.alias("split_total_amount"),
             F.round(coupon, 2).cast("decimal(20,2)").alias("split_coupon_amount"),
         )
@@ -152,6 +154,7 @@ class Shop:
             F.col("o_orderpriority").alias("payment_type"),
             time_text(paid).alias("create_time"),
             time_text(paid).alias("callback_time"),
+            paid.alias("et"),
         )
 
     def refunds(self) -> DataFrame:
@@ -160,6 +163,7 @@ class Shop:
             F.col("l_orderkey").alias("order_id"),
             F.col("l_extendedprice").cast("decimal(20,2)").alias("total_amount"),
             time_text(F.col("l_shipdate").cast("timestamp")).alias("create_time"),
+            F.col("l_shipdate").cast("timestamp").alias("et"),
         )
 
     def _event_rows(self, kind: str, **extra: Column) -> DataFrame:
@@ -167,6 +171,7 @@ class Shop:
         return self.read("events").filter(F.col("event_type") == kind).select(
             k.cast("long").alias("sku_id"),
             time_text(F.col("ts").cast("timestamp")).alias("create_time"),
+            F.col("ts").cast("timestamp").alias("et"),
             *[c.alias(n) for n, c in extra.items()],
         )
 
