@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillwater.functions import micros
 
@@ -59,7 +59,9 @@ class Dim:
     """A lookup: dimension `table` by `id`, found through column `key`.
 
     `columns` maps output names to columns or expressions over the table.
-    `key` may be an output of an earlier lookup.
+    `key` may be an output of an earlier lookup. `spread` above 1 cuts each key
+    into that many parts, for a table too large to broadcast with keys that
+    hold a large share of the rows: the table is repeated per part.
     """
 
     name: str
@@ -67,6 +69,7 @@ class Dim:
     key: str
     columns: dict[str, str | Column]
     id: str = "ID"
+    spread: int = 1
 
 
 def enrich(df: DataFrame, dims: list[Dim], mark_missing: bool = False) -> DataFrame:
@@ -89,7 +92,17 @@ def enrich(df: DataFrame, dims: list[Dim], mark_missing: bool = False) -> DataFr
             ],
         )
         df = df.drop(*dim.columns)
-        df = df.join(looked_up, F.col(dim.key) == F.col(found), "left")
+        match = F.col(dim.key) == F.col(found)
+        if dim.spread > 1:
+            parts = F.array(*[F.lit(i) for i in range(dim.spread)])
+            looked_up = looked_up.withColumn("_dim_part", F.explode(parts))
+            # Any part finds the row; the hash only keeps a retried task's
+            # output the same.
+            simple = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+            part = F.pmod(F.xxhash64(*simple), F.lit(dim.spread)).cast("int")
+            df = df.withColumn("_part", part)
+            match = match & (F.col("_part") == F.col("_dim_part"))
+        df = df.join(looked_up, match, "left").drop("_part", "_dim_part")
         if mark_missing:
             misses.append(F.when(F.col(found).isNull(), F.lit(dim.name)))
             df = df.withColumn(f"_miss_{dim.name}", misses[-1])

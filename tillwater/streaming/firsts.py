@@ -21,33 +21,52 @@ _OUT = ["first_key", "first_us", "first_tie", "first_wt", "first_row"]
 _OUT_SCHEMA = "first_key string, first_us long, first_tie long, first_wt timestamp, first_row string"
 # Keeps microseconds when a record passes the state as text.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# A day is over by then, in any zone and with any clock change.
+_DAY_STATE_MS = 2 * 86_400_000
 
 
 class FirstInScope(StatefulProcessor):
     """Lets a visitor's window through when it opens a new scope.
 
-    The state is the scope last let through, kept forever.
+    The state is the scope last let through. It is kept forever, or for
+    `keep_ms` of event time after the window that opened it; the scope must be
+    over by then.
     """
 
+    def __init__(self, keep_ms: int | None = None):
+        self._keep_ms = keep_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._scope = handle.getValueState("scope", "scope string")
+        self._handle = handle
+        self._open = handle.getValueState("open", "scope string, until long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         windows = pd.concat(list(rows)).sort_values(["first_us", "first_tie"])
-        current = self._scope.get()[0] if self._scope.exists() else None
+        current = self._open.get()[0] if self._open.exists() else None
         opened = []
         for scope in windows["scope"]:
             opened.append(scope != current)
             current = scope
         if any(opened):
-            self._scope.update((current,))
+            until = -1
+            if self._keep_ms is not None:
+                until = int(windows.loc[opened, "first_us"].iloc[-1]) // 1000 + self._keep_ms
+                self._handle.registerTimer(until)
+            self._open.update((current, until))
             yield windows.loc[opened, _OUT]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # A later scope has a later timer of its own.
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        if self._open.exists() and self._open.get()[1] <= due:
+            self._open.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
-def _firsts(pages: DataFrame, key, ts, tie, window, scope, row) -> DataFrame:
+def _firsts(pages: DataFrame, key, ts, tie, window, scope, row, keep_ms=None) -> DataFrame:
     order = F.struct(F.unix_micros(ts).alias("first_us"), F.col(tie).cast("long").alias("first_tie"))
     per_window = pages.groupBy(
         F.window(ts, window).alias("_w"),
@@ -60,7 +79,7 @@ def _firsts(pages: DataFrame, key, ts, tie, window, scope, row) -> DataFrame:
         F.to_json("_record", _JSON).alias("first_row"),
     )
     return windows.groupBy("first_key").transformWithStateInPandas(
-        FirstInScope(), _OUT_SCHEMA, "Append", "EventTime", eventTimeColumnName="first_wt"
+        FirstInScope(keep_ms), _OUT_SCHEMA, "Append", "EventTime", eventTimeColumnName="first_wt"
     )
 
 
@@ -73,7 +92,7 @@ def daily_unique_stream(
     row = F.struct(*fields, F.unix_micros(ts).alias("_event_us"))
     schema = pages.select(row.alias("r")).schema["r"].dataType
     day = day_of(ts, tz).cast("string")
-    firsts = _firsts(pages, key, ts, tie, window, day, row)
+    firsts = _firsts(pages, key, ts, tie, window, day, row, _DAY_STATE_MS)
     back = firsts.select(F.from_json("first_row", schema, _JSON).alias("r")).select("r.*")
     return back.withColumn(ts, F.timestamp_micros("_event_us")).select(*pages.columns)
 
