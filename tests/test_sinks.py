@@ -1,0 +1,235 @@
+"""Sinks and sources, and the layers run end to end."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tillwater import schemas
+from tillwater.operators import dashboard as dash
+from tillwater.operators.joins import Dim
+from tillwater.operators.parsing import parse_json
+from tillwater.plans import layers
+from tillwater.session import scratch_dir
+from tillwater.sinks import (
+    compact_dim, console_sink, enriching_sink, file_sink, hidden, landing_sink,
+    routed_file_sink, routing_sink, serving_sink, visible,
+)
+from tillwater.sinks.streams import routed_records
+from tillwater.sources import file_stream, read_dim, read_routes, read_serving, with_event_time
+from tillwater.sources.streams import kafka_options
+from tillwater.streaming.runner import run_stage, start
+
+
+def add(spark, folder, texts):
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode(
+        "append"
+    ).text(folder)
+
+
+def run(spark, writer, checkpoint):
+    start(spark, writer, checkpoint, drain=True, state_partitions=2).awaitTermination()
+
+
+def change(table, type, ts, **data):
+    return json.dumps({"database": "shop", "table": table, "type": type, "data": data, "ts": ts})
+
+
+ROUTE = dict(sink_pk=None, sink_extend=None)
+
+
+def test_changes_reach_facts_and_dimensions(spark, folder):
+    """Config rows count from the batch after they appear; the newest row of a key wins."""
+    config = [dict(source_table="user_info", operate_type=o, sink_type="hbase",
+                   sink_table="dim_user", sink_columns="id,name", **ROUTE) for o in ("insert", "update")]
+    late = dict(source_table="order_info", operate_type="insert", sink_type="kafka",
+                sink_table="dwd_order", sink_columns="id", **ROUTE)
+    routes = f"{folder}/routes"
+    add(spark, routes, [json.dumps(c) for c in config])
+
+    def step(*texts):
+        add(spark, f"{folder}/in", texts)
+        raw = file_stream(spark, f"{folder}/in", fmt="text")
+        changes, _ = parse_json(raw, schemas.CHANGE)
+        run(spark, routing_sink(
+            changes, lambda session: read_routes(session, routes), "shop",
+            f"{folder}/facts", f"{folder}/dims",
+        ), f"{folder}/checkpoint")
+
+    step(change("user_info", "bootstrap-insert", 1, id=1, name="old", extra="x"),
+         change("user_info", "insert", 1, id=2, name="two"),
+         change("order_info", "insert", 1, id=7))
+    add(spark, routes, [json.dumps(late)])
+    step(change("user_info", "update", 2, id=1, name="new"),
+         change("user_info", "update", 3, id=1, name="newest"),
+         change("order_info", "insert", 2, id=8, note="n"))
+
+    users = read_dim(spark, f"{folder}/dims/dim_user")
+    assert rows(users, "ID", "NAME") == [("1", "newest"), ("2", "two")]
+    assert set(users.dtypes) == {("ID", "string"), ("NAME", "string")}
+    facts = spark.read.parquet(f"{folder}/facts")
+    assert rows(facts, "sink_table", "value") == [("dwd_order", '{"id":"8"}')]
+
+    compact_dim(spark, f"{folder}/dims/dim_user", f"{folder}/compact", ["ID"])
+    assert rows(read_dim(spark, f"{folder}/compact"), "ID", "NAME") == rows(users, "ID", "NAME")
+
+
+def test_a_retried_batch_is_written_once(spark, folder):
+    from tillwater.operators.changes import clean_changes, route
+    from tillwater.sinks import write_dims
+
+    raw = spark.createDataFrame([(change("user_info", "insert", 1, id=1, name="n"),)], "value string")
+    config = spark.createDataFrame(
+        [("user_info", "insert", "hbase", "dim_user", "id,name", None, None),
+         ("sku_info", "insert", "hbase", "dim_sku", "id,name", None, None)], schemas.ROUTES
+    )
+    routed = route(clean_changes(parse_json(raw, schemas.CHANGE)[0], "shop"), config)
+    for _ in range(2):
+        write_dims(routed, config, folder, 0)
+    assert spark.read.parquet(f"{folder}/dim_user").count() == 1
+    # A table without rows is there, with its columns.
+    empty = read_dim(spark, f"{folder}/dim_sku")
+    assert empty.count() == 0 and empty.columns == ["ID", "NAME"]
+
+
+def test_routed_facts_by_folder(spark, folder):
+    routed = spark.createDataFrame(
+        [("t1", {"id": "1"}), ("t2", {"id": "2"})], "sink_table string, data map<string,string>"
+    )
+    routed.write.parquet(f"{folder}/in")
+    stream = file_stream(spark, f"{folder}/in", routed.schema)
+    run(spark, routed_file_sink(stream, f"{folder}/out"), f"{folder}/checkpoint")
+    assert rows(spark.read.parquet(f"{folder}/out/sink_table=t2")) == [('{"id":"2"}',)]
+    assert rows(routed_records(routed)) == [("t1", '{"id":"1"}'), ("t2", '{"id":"2"}')]
+
+
+def test_lookups_are_read_anew_for_every_batch(spark, folder):
+    dim = f"{folder}/dim"
+    facts = spark.createDataFrame([(1,)], "k long")
+
+    def step(name):
+        spark.createDataFrame([("1", name)], "ID string, N string").write.mode("append").parquet(
+            f"{dim}/_batch={name}"
+        )
+        facts.write.mode("append").parquet(f"{folder}/in")
+        stream = file_stream(spark, f"{folder}/in", facts.schema)
+
+        def lookups(session):
+            newest = session.read.parquet(dim).groupBy("ID").agg(F.max("N").alias("N"))
+            return [Dim("n", newest, "k", {"name": "N"})]
+
+        run(spark, enriching_sink(stream, lookups, f"{folder}/out"), f"{folder}/checkpoint")
+
+    step("a")
+    step("b")
+    assert rows(spark.read.parquet(f"{folder}/out"), "k", "name") == [(1, "a"), (1, "b")]
+
+
+def test_serving_table_has_a_folder_per_day(spark, folder):
+    table = spark.createDataFrame(
+        [("2022-04-01 10:00:00", 1), ("2022-04-02 10:00:00", 2)], "stt string, order_amount long"
+    )
+    table.write.parquet(f"{folder}/in")
+    stream = file_stream(spark, f"{folder}/in", table.schema).withColumn(
+        "ids", hidden(F.array(F.lit(1)), "ids")
+    )
+    run(spark, serving_sink(stream, f"{folder}/out"), f"{folder}/checkpoint")
+    assert "ids" not in read_serving(spark, f"{folder}/out").columns
+    day = read_serving(spark, f"{folder}/out", 20220402)
+    assert rows(dash.gmv_day(day, 20220402)) == [(2,)]
+    text = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in text and "2022-04-02" in text
+
+
+def test_hidden_columns(spark):
+    frame = spark.range(1).select("id", hidden(F.lit(1), "set"))
+    assert frame.columns == ["id", "set"] and visible(frame).columns == ["id"]
+
+
+def test_topic_options():
+    assert kafka_options("h:9092", "ods_log")["startingOffsets"] == "latest"
+    earliest = kafka_options("h:9092", "dwm_order_wide", "earliest")
+    assert earliest["startingOffsets"] == "earliest"
+    assert earliest["kafka.isolation.level"] == "read_committed"
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert one != two
+    if shared:
+        assert one.startswith(shared.rstrip("/"))
+
+
+def log(mid, ts, **rest):
+    return json.dumps({"common": {"mid": mid, "vc": "v", "ch": "c", "ar": "a", "is_new": "1"}, "ts": ts, **rest})
+
+
+def page(page_id, last=None, item=None, kind=None):
+    fields = {"page_id": page_id, "last_page_id": last, "item": item, "item_type": kind, "during_time": 5}
+    return {k: v for k, v in fields.items() if v is not None}
+
+
+def test_from_raw_log_to_dashboard(spark, folder):
+    """Collector text through every log layer, as streaming queries with folders between."""
+    hour = 3_600_000
+    texts = [
+        log("1", 3 * hour, start={"entry": "icon"}),
+        log("1", 3 * hour + 1_000, page=page("home"), displays=[{"item": "9", "item_type": "sku_id"}]),
+        log("1", 3 * hour + 2_000, page=page("good_list", "home", "Red phone", "keyword")),
+        log("2", 3 * hour + 3_000, page=page("home")),
+        log("2", 5 * hour, page=page("good_detail", "good_list", "9", "sku_id")),
+        "{broken",
+    ]
+    far = [log("closing", 10**12, page=page("home", "home"))]
+    add(spark, f"{folder}/raw", texts)
+    add(spark, f"{folder}/raw", far)
+    add(spark, f"{folder}/raw", [log("closing", 2 * 10**12, page=page("home", "home"))])
+    add(spark, f"{folder}/raw", [log("closing", 3 * 10**12, page=page("home", "home"))])
+
+    run(spark, landing_sink(file_stream(spark, f"{folder}/raw", fmt="text"), f"{folder}/landed"),
+        f"{folder}/checkpoint/landing")
+    assert spark.read.parquet(f"{folder}/landed").count() == 9
+
+    def stage(function, sources, names):
+        queries = run_stage(
+            spark, function, sources,
+            {n: (lambda df, n=n: file_sink(df, f"{folder}/{n}")) for n in names},
+            f"{folder}/checkpoint/{function.__name__}", drain=True, state_partitions=1,
+        )
+        for query in queries.values():
+            query.awaitTermination()
+        return {n: spark.read.parquet(f"{folder}/{n}") for n in names}
+
+    def topic(name, frame):
+        return file_stream(spark, f"{folder}/{name}", frame.schema, files_per_batch=1)
+
+    raw = lambda: file_stream(spark, f"{folder}/raw", fmt="text", files_per_batch=1)
+    out = stage(layers.clean_log, {"raw": raw()}, ["start", "page", "display", "rejects"])
+    real = "common.mid <> 'closing'"
+    assert rows(out["rejects"]) == [("{broken",)]
+    assert rows(out["start"], "common.mid", "common.is_new") == [("1", "1")]
+    assert rows(out["page"].filter(real), "common.mid", "ts", "common.is_new") == [
+        ("1", 3 * hour + 1_000, "0"), ("1", 3 * hour + 2_000, "0"),
+        ("2", 3 * hour + 3_000, "1"), ("2", 5 * hour, "0"),
+    ]
+    assert rows(out["display"], "mid", "item", "page_id") == [("1", "9", "home")]
+
+    pages = out["page"]
+    uv = stage(layers.unique_visitors, {"page": topic("page", pages)}, ["uv"])["uv"]
+    uj = stage(layers.page_jumps, {"page": topic("page", pages)}, ["uj"])["uj"]
+    assert rows(uv.filter(real), "common.mid", "ts") == [("1", 3 * hour + 1_000), ("2", 3 * hour + 3_000)]
+    assert rows(uj.filter(real), "common.mid", "ts") == [("2", 3 * hour + 3_000)]
+
+    table = stage(
+        layers.visitor_table,
+        {"page": topic("page", pages), "uv": topic("uv", uv), "uj": topic("uj", uj)},
+        ["visitor_stats"],
+    )["visitor_stats"]
+    hours = dash.visitors_by_hour(table, 19700101)
+    assert hours.count() == 24
+    assert rows(hours.filter("pv > 0"), "hour", "pv", "uv", "uj") == [(3, 3, 2, 1), (5, 1, 0, 0)]
+
+    words = stage(layers.search_table, {"page": topic("page", pages)}, ["keyword_stats"])["keyword_stats"]
+    assert rows(words, "keyword", "ct") == [("phone", 1), ("red", 1)]

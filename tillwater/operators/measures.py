@@ -129,9 +129,19 @@ def comments(comment: DataFrame) -> DataFrame:
 # --- keywords ---------------------------------------------------------------
 
 def searches(pages: DataFrame) -> DataFrame:
-    """Search texts. `page` may be a struct or a map."""
-    return pages.filter(
-        (F.col("page")["page_id"] == "good_list")
-        & (F.col("page")["item_type"] == "keyword")
-        & F.col("page")["item"].isNotNull()
-    ).select(F.col("page")["item"].alias("kw"), millis_to_timestamp("ts").alias("et"))
+    """Search texts. `page` may be a struct or a map.
+
+    On a stream the other pages stay as rows without a text, so that they too
+    move the watermark; Spark would push a filter below it.
+    """
+    page = F.col("page")
+    found = (
+        (page["page_id"] == "good_list")
+        & (page["item_type"] == "keyword")
+        & page["item"].isNotNull()
+    )
+    if pages.isStreaming:
+        text = F.when(found, page["item"])
+    else:
+        pages, text = pages.filter(found), page["item"]
+    return pages.select(text.alias("kw"), millis_to_timestamp("ts").alias("et"))

@@ -110,20 +110,20 @@ def product_keywords(stats: DataFrame, delay: str = "3 seconds") -> DataFrame:
     Emits each (window, word, source) once: on a stream the window end becomes
     the event time again, instead of every update being written.
     """
-    live = stats.filter(any_positive("click_ct", "cart_ct", "order_ct")).select(
-        parse_time("edt").alias("et"), "stt", "edt", "sku_name",
-        "click_ct", "cart_ct", "order_ct",
+    counted = ("click_ct", "cart_ct", "order_ct")
+    rows = stats.select(
+        parse_time("edt").alias("et"), "stt", "edt", "sku_name", *counted
     )
-    # One row per name and window first, so that words are cut once per name.
-    # A second grouping of a stream would delay it for little gain.
-    if not live.isStreaming:
-        counted = ("click_ct", "cart_ct", "order_ct")
-        live = live.groupBy("et", "stt", "edt", "sku_name").agg(
+    # In batch, rows without a measure go at once, and the rest is summed per
+    # name and window, so that each name is cut into words once. On a stream
+    # all rows move the watermark; those without a measure make no pairs.
+    if not rows.isStreaming:
+        rows = rows.filter(any_positive(*counted)).groupBy("et", "stt", "edt", "sku_name").agg(
             *[F.sum(c).alias(c) for c in counted]
         )
-    pairs = _trail(live, delay).select(
+    pairs = _trail(rows, delay).select(
         "et", "stt", "edt", F.explode(tokenize("sku_name")).alias("keyword"),
-        positive_sources("click_ct", "cart_ct", "order_ct").alias("pairs"),
+        positive_sources(*counted).alias("pairs"),
     ).select("et", "stt", "edt", "keyword", F.inline("pairs"))
     sums = pairs.groupBy("et", "stt", "edt", "keyword", "source").agg(F.sum("ct").alias("ct"))
     return sums.select("stt", "edt", "keyword", "source", "ct")
