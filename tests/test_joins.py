@@ -119,7 +119,20 @@ def test_missing_lookups_keep_the_row_and_are_listed(spark):
     marked = enrich(facts, wanted, mark_missing=True)
     complete, missing = split_missing(marked)
     assert complete.count() == 0 and marked.count() == 2
-    assert rows(missing, "sku_id", F.array_join("missing_dims", ",")) == [(3, "user"), (4, "user,sku")]
+    # What hangs on a missing sku is missing too.
+    assert rows(missing, "sku_id", F.array_join("missing_dims", ",")) == [
+        (3, "user"), (4, "user,sku,spu,trademark,category3")
+    ]
+    assert "spu_name" in missing.columns
+
+
+def test_facts_are_joined_once_per_product_lookup(spark):
+    facts = spark.createDataFrame([(1, 3)], "user_id long, sku_id long")
+    product = [d for d in dims(spark) if d.name == "sku"]
+    logical = enrich(facts, product)._jdf.queryExecution().optimizedPlan()
+    assert logical.toString().count("Join LeftOuter") == 4
+    top = [l for l in logical.toString().splitlines() if "Join LeftOuter" in l]
+    assert "sku_id" in top[0]
 
 
 def test_spreading_a_lookup_changes_nothing(spark):

@@ -59,9 +59,12 @@ class Dim:
     """A lookup: dimension `table` by `id`, found through column `key`.
 
     `columns` maps output names to columns or expressions over the table.
-    `key` may be an output of an earlier lookup. `spread` above 1 cuts each key
-    into that many parts, for a table too large to broadcast with keys that
-    hold a large share of the rows: the table is repeated per part.
+    `then` are lookups whose keys are among these outputs. They are joined to
+    the dimension itself, so that facts are joined once, not once per level.
+
+    `spread` above 1 cuts each key into that many parts, for a table too large
+    to broadcast with keys that hold a large share of the rows: the table is
+    repeated per part.
     """
 
     name: str
@@ -69,8 +72,32 @@ class Dim:
     key: str
     columns: dict[str, str | Column]
     id: str = "ID"
+    then: tuple[Dim, ...] = ()
     spread: int = 1
 
+    def names(self) -> list[str]:
+        """This lookup and those that hang on it."""
+        return [self.name, *[n for d in self.then for n in d.names()]]
+
+    def outputs(self) -> list[str]:
+        return [*self.columns, *[c for d in self.then for c in d.outputs()]]
+
+    def lookup(self, key_type: T.DataType) -> DataFrame:
+        """The table to join: key, outputs, and a mark per level that it was found."""
+        found = self.table.select(
+            F.col(self.id).cast(key_type).alias(f"_{self.name}_id"),
+            F.lit(True).alias(f"_{self.name}_hit"),
+            *[
+                (F.col(c) if isinstance(c, str) else c).alias(name)
+                for name, c in self.columns.items()
+            ],
+        )
+        for dim in self.then:
+            below = dim.lookup(found.schema[dim.key].dataType)
+            match = F.col(dim.key) == F.col(f"_{dim.name}_id")
+            found = found.join(below, match, "left").drop(f"_{dim.name}_id")
+        return found
+
 
 def enrich(df: DataFrame, dims: list[Dim], mark_missing: bool = False) -> DataFrame:
     """Left-join each lookup in turn; its columns replace any of the same name.
@@ -81,18 +108,10 @@ def enrich(df: DataFrame, dims: list[Dim], mark_missing: bool = False) -> DataFr
     the partitions of a hot key. With `mark_missing` a column lists the
     lookups that found nothing.
     """
-    misses = []
     for dim in dims:
-        found = f"_{dim.name}_id"
-        looked_up = dim.table.select(
-            F.col(dim.id).cast(df.schema[dim.key].dataType).alias(found),
-            *[
-                (F.col(c) if isinstance(c, str) else c).alias(name)
-                for name, c in dim.columns.items()
-            ],
-        )
-        df = df.drop(*dim.columns)
-        match = F.col(dim.key) == F.col(found)
+        df = df.drop(*dim.outputs())
+        looked_up = dim.lookup(df.schema[dim.key].dataType)
+        match = F.col(dim.key) == F.col(f"_{dim.name}_id")
         if dim.spread > 1:
             parts = F.array(*[F.lit(i) for i in range(dim.spread)])
             looked_up = looked_up.withColumn("_dim_part", F.explode(parts))
@@ -102,15 +121,13 @@ def enrich(df: DataFrame, dims: list[Dim], mark_missing: bool = False) -> DataFr
             part = F.pmod(F.xxhash64(*simple), F.lit(dim.spread)).cast("int")
             df = df.withColumn("_part", part)
             match = match & (F.col("_part") == F.col("_dim_part"))
-        df = df.join(looked_up, match, "left").drop("_part", "_dim_part")
-        if mark_missing:
-            misses.append(F.when(F.col(found).isNull(), F.lit(dim.name)))
-            df = df.withColumn(f"_miss_{dim.name}", misses[-1])
-        df = df.drop(found)
+        df = df.join(looked_up, match, "left").drop(f"_{dim.name}_id", "_part", "_dim_part")
+    names = [n for d in dims for n in d.names()]
+    hits = [f"_{n}_hit" for n in names]
     if mark_missing:
-        marks = [f"_miss_{d.name}" for d in dims]
-        df = df.withColumn(MISSING, F.array_compact(F.array(*marks))).drop(*marks)
-    return df
+        missing = [F.when(F.col(h).isNull(), F.lit(n)) for n, h in zip(names, hits)]
+        df = df.withColumn(MISSING, F.array_compact(F.array(*missing)))
+    return df.drop(*hits)
 
 
 def split_missing(marked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -88,7 +88,7 @@ def order_dims(
     user: DataFrame, province: DataFrame, sku: DataFrame, spu: DataFrame,
     trademark: DataFrame, category3: DataFrame, asof,
 ) -> list[Dim]:
-    """The six lookups of the order wide table; three hang on the sku."""
+    """The lookups of the order wide table: user, province and product."""
     return [
         Dim("user", user, "user_id", {
             "user_gender": "GENDER",
@@ -105,18 +105,28 @@ def order_dims(
 
 
 def product_dims(
-    sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame
+    sku: DataFrame, spu: DataFrame | None = None, trademark: DataFrame | None = None,
+    category3: DataFrame | None = None,
 ) -> list[Dim]:
-    """The lookups of a product: sku, then through it spu, trademark, category."""
+    """The lookup of a product: its sku, and through it spu, trademark, category.
+
+    Only the levels that are wanted need be given; None leaves one out.
+    """
+    levels = (
+        ("spu", spu, "spu_id", {"spu_name": "SPU_NAME"}),
+        ("trademark", trademark, "tm_id", {"tm_name": "TM_NAME"}),
+        ("category3", category3, "category3_id", {"category3_name": "NAME"}),
+    )
     return [
-        Dim("sku", sku, "sku_id", {
-            "sku_name": "SKU_NAME",
-            "sku_price": F.col("PRICE").cast("decimal(20,2)"),
-            "spu_id": F.col("SPU_ID").cast("bigint"),
-            "tm_id": F.col("TM_ID").cast("bigint"),
-            "category3_id": F.col("CATEGORY3_ID").cast("bigint"),
-        }),
-        Dim("spu", spu, "spu_id", {"spu_name": "SPU_NAME"}),
-        Dim("trademark", trademark, "tm_id", {"tm_name": "TM_NAME"}),
-        Dim("category3", category3, "category3_id", {"category3_name": "NAME"}),
+        Dim(
+            "sku", sku, "sku_id",
+            {
+                "sku_name": "SKU_NAME",
+                "sku_price": F.col("PRICE").cast("decimal(20,2)"),
+                "spu_id": F.col("SPU_ID").cast("bigint"),
+                "tm_id": F.col("TM_ID").cast("bigint"),
+                "category3_id": F.col("CATEGORY3_ID").cast("bigint"),
+            },
+            then=tuple(Dim(*level) for level in levels if level[1] is not None),
+        )
     ]

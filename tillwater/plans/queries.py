@@ -88,8 +88,7 @@ def interactions(s: Shop) -> DataFrame:
 
 
 def product_words(s: Shop) -> DataFrame:
-    sku = [d for d in s.order_dims() if d.name == "sku"]
-    return stats.product_keywords(enrich(interactions(s), sku))
+    return stats.product_keywords(enrich(interactions(s), s.sku_dim()))
 
 
 # --- dashboard ------------------------------------------------------------------
@@ -107,24 +106,22 @@ def gmv_on_date(spark, sf_dir):
     return plain(dash.gmv_day(lines, GMV_DATE))
 
 
-def _named_days(s: Shop, orders: bool = False) -> DataFrame:
-    return dash.product_days(line_stats(s), s.product_dims(), orders)
-
-
 def gmv_by_brand(spark, sf_dir):
-    days = _named_days(shop(spark, sf_dir))
+    s = shop(spark, sf_dir)
+    days = dash.product_days(line_stats(s), s.product_dims("trademark"))
     return plain(dash.gmv_by(days, ["tm_id", "tm_name"]))
 
 
 def gmv_by_category(spark, sf_dir):
-    days = _named_days(shop(spark, sf_dir))
+    s = shop(spark, sf_dir)
+    days = dash.product_days(line_stats(s), s.product_dims("category3"))
     return plain(dash.gmv_by(days, ["category3_id", "category3_name"]))
 
 
 def gmv_by_product(spark, sf_dir):
     s = shop(spark, sf_dir)
     totals = stats.product_stats([m.orders(s.order_detail())], DAY)
-    days = dash.product_days(totals, s.product_dims(), orders=True)
+    days = dash.product_days(totals, s.product_dims("spu"), orders=True)
     return plain(dash.gmv_by(days, ["spu_id", "spu_name"], orders=True))
 
 
@@ -197,11 +194,11 @@ def dim_enrich(spark, sf_dir):
 def dim_enrich_missing(spark, sf_dir):
     """Events whose sku or user the dimension does not have."""
     s = shop(spark, sf_dir)
-    dims = {d.name: d for d in s.order_dims()}
+    users = [d for d in s.order_dims() if d.name == "user"]
     seen = s.read("events").select(
         "event_id", "user_id", (F.col("event_id") * 3).alias("sku_id")
     )
-    marked = enrich(seen, [dims["user"], dims["sku"]], mark_missing=True)
+    marked = enrich(seen, [*users, *s.sku_dim()], mark_missing=True)
     return marked.select(
         "event_id", "user_id", "sku_id", "user_gender", "sku_name",
         F.array_join(MISSING, ",").alias("missing"),

@@ -189,9 +189,8 @@ def product_keyword_sum_stream(spark, sf_dir):
     """Reads the product statistics as the topic before it wrote them."""
     s = StreamShop(spark, sf_dir)
     rows = [m.clicks(s.pages(delay=None)), m.carts(s.carts()), m.orders(s.wide_topic())]
-    sku = [d for d in s.order_dims() if d.name == "sku"]
     totals = s.topic(
-        enrich(stats.product_stats(rows, DAY), sku), "product_stats",
+        enrich(stats.product_stats(rows, DAY), s.sku_dim()), "product_stats",
         dict(edt=FAR_TEXT, sku_name="", click_ct=1, cart_ct=0, order_ct=0),
     )
     return s.drain(stats.product_keywords(totals), "product_keywords")

@@ -298,8 +298,14 @@ class Shop:
             self._category().alias("ID"), F.col("p_type").alias("NAME")
         ).distinct()
 
-    def product_dims(self) -> list[Dim]:
-        return product_dims(self.skus(), self.spus(), self.trademarks(), self.categories())
+    def product_dims(self, *levels: str) -> list[Dim]:
+        """The product lookup with the named levels above the sku; all by default."""
+        tables = {"spu": self.spus, "trademark": self.trademarks, "category3": self.categories}
+        wanted = levels or tuple(tables)
+        return product_dims(self.skus(), **{n: tables[n]() for n in wanted})
+
+    def sku_dim(self) -> list[Dim]:
+        return product_dims(self.skus())
 
     def order_dims(self) -> list[Dim]:
         return order_dims(
