@@ -57,11 +57,11 @@ def parse_time(c, pattern: str = TIME_FORMAT) -> Column:
     return F.try_to_timestamp(_col(c), F.lit(pattern))
 
 
-def event_time(df: DataFrame, text: str) -> Column:
-    """A record's event time: its `et` or `ts` where present, else parsed text."""
+def event_time(df: DataFrame, text: str) -> str:
+    """SQL for a record's event time: its `et` or `ts` if any, else parsed text."""
     if "et" in df.columns:
-        return F.col("et")
-    return millis_to_timestamp("ts") if "ts" in df.columns else parse_time(text)
+        return "et"
+    return "timestamp_millis(ts)" if "ts" in df.columns else f"try_to_timestamp({text})"
 
 
 def text_to_millis(c, pattern: str = TIME_FORMAT) -> Column:

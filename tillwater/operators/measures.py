@@ -32,45 +32,48 @@ def is_entry(page: str = "page") -> Column:
     return is_blank(f"{page}.last_page_id")
 
 
-def _visitor_row(records: DataFrame, **measures: Column | int) -> DataFrame:
-    return records.select(
-        millis_to_timestamp("ts").alias("et"),
-        *[F.col(f"common.{k}").cast("string").alias(k) for k in VISITOR_KEYS],
-        *[F.lit(measures.get(m, 0)).cast("long").alias(m) for m in VISITOR_MEASURES],
+def _visitor_row(records: DataFrame, **measures: str) -> DataFrame:
+    """Measures are SQL over the record."""
+    return records.selectExpr(
+        "timestamp_millis(ts) AS et",
+        *[f"CAST(common.{k} AS STRING) AS {k}" for k in VISITOR_KEYS],
+        *[f"CAST({measures.get(m, '0')} AS BIGINT) AS {m}" for m in VISITOR_MEASURES],
     )
 
 
 def page_views(pages: DataFrame) -> DataFrame:
     """Page views, time spent and session starts, all from one pass."""
     return _visitor_row(
-        pages, pv_ct=1, dur_sum=F.coalesce("page.during_time", F.lit(0)),
-        sv_ct=is_entry().cast("long"),
+        pages, pv_ct="1", dur_sum="coalesce(page.during_time, 0)",
+        sv_ct="IF(coalesce(page.last_page_id, '') = '', 1, 0)",
     )
 
 
 def unique_visits(uv: DataFrame) -> DataFrame:
-    return _visitor_row(uv, uv_ct=1)
+    return _visitor_row(uv, uv_ct="1")
 
 
 def jumps(uj: DataFrame) -> DataFrame:
-    return _visitor_row(uj, uj_ct=1)
+    return _visitor_row(uj, uj_ct="1")
 
 
 # --- products ---------------------------------------------------------------
 
 def _product_row(
-    records: DataFrame, sku: Column, et: Column, kind: str | None = None,
-    order_id: Column | None = None, **measures: Column | int,
+    records: DataFrame, sku: str, et: str, kind: str | None = None,
+    order_id: str = "NULL", **measures: str,
 ) -> DataFrame:
-    """`kind` and `order_id` say which order the row belongs to, for counting."""
-    return records.select(
-        et.alias("et"),
-        sku.cast("long").alias("sku_id"),
-        F.lit(kind).cast("string").alias("kind"),
-        (F.lit(None) if order_id is None else order_id).cast("long").alias("order_id"),
-        *[F.lit(measures.get(m, 0)).cast("long").alias(m) for m in PRODUCT_COUNTS],
+    """All arguments but `kind` are SQL over the record.
+
+    `kind` and `order_id` say which order the row belongs to, for counting.
+    """
+    kind = f"'{kind}'" if kind else "NULL"
+    return records.selectExpr(
+        f"{et} AS et", f"CAST({sku} AS BIGINT) AS sku_id",
+        f"CAST({kind} AS STRING) AS kind", f"CAST({order_id} AS BIGINT) AS order_id",
+        *[f"CAST(coalesce({measures.get(m, '0')}, 0) AS BIGINT) AS {m}" for m in PRODUCT_COUNTS],
         *[
-            F.coalesce(F.lit(measures.get(m, 0)), F.lit(0)).cast("decimal(20,2)").alias(m)
+            f"CAST(coalesce({measures.get(m, '0')}, 0) AS DECIMAL(20,2)) AS {m}"
             for m in PRODUCT_AMOUNTS
         ],
     )
@@ -78,51 +81,49 @@ def _product_row(
 
 def clicks(pages: DataFrame) -> DataFrame:
     hits = pages.filter(F.col("page.item_type") == SKU_ITEM)
-    return _product_row(
-        hits, F.col("page.item"), millis_to_timestamp("ts"), click_ct=1
-    )
+    return _product_row(hits, "page.item", "timestamp_millis(ts)", click_ct="1")
 
 
 def displays(shown: DataFrame) -> DataFrame:
     """From flattened display records."""
     hits = shown.filter(F.col("item_type") == SKU_ITEM)
-    return _product_row(hits, F.col("item"), millis_to_timestamp("ts"), display_ct=1)
+    return _product_row(hits, "item", "timestamp_millis(ts)", display_ct="1")
 
 
 def favors(favor: DataFrame) -> DataFrame:
-    return _product_row(favor, F.col("sku_id"), event_time(favor, "create_time"), favor_ct=1)
+    return _product_row(favor, "sku_id", event_time(favor, "create_time"), favor_ct="1")
 
 
 def carts(cart: DataFrame) -> DataFrame:
-    return _product_row(cart, F.col("sku_id"), event_time(cart, "create_time"), cart_ct=1)
+    return _product_row(cart, "sku_id", event_time(cart, "create_time"), cart_ct="1")
 
 
 def orders(wide: DataFrame) -> DataFrame:
     return _product_row(
-        wide, F.col("sku_id"), event_time(wide, "create_time"), "order", F.col("order_id"),
-        order_sku_num=F.coalesce("sku_num", F.lit(0)),
-        order_amount=F.col("split_total_amount"),
+        wide, "sku_id", event_time(wide, "create_time"), "order", "order_id",
+        order_sku_num="sku_num", order_amount="split_total_amount",
     )
 
 
 def payments(wide: DataFrame) -> DataFrame:
     return _product_row(
-        wide, F.col("sku_id"), event_time(wide, "payment_create_time"), "paid",
-        F.col("order_id"), payment_amount=F.col("split_total_amount"),
+        wide, "sku_id", event_time(wide, "payment_create_time"), "paid", "order_id",
+        payment_amount="split_total_amount",
     )
 
 
 def refunds(refund: DataFrame) -> DataFrame:
     return _product_row(
-        refund, F.col("sku_id"), event_time(refund, "create_time"), "refund",
-        F.col("order_id"), refund_amount=F.col("total_amount"),
+        refund, "sku_id", event_time(refund, "create_time"), "refund", "order_id",
+        refund_amount="total_amount",
     )
 
 
 def comments(comment: DataFrame) -> DataFrame:
+    good = ", ".join(f"'{a}'" for a in GOOD_APPRAISALS)
     return _product_row(
-        comment, F.col("sku_id"), event_time(comment, "create_time"), comment_ct=1,
-        good_comment_ct=F.coalesce(F.col("appraise").isin(*GOOD_APPRAISALS), F.lit(False)),
+        comment, "sku_id", event_time(comment, "create_time"), comment_ct="1",
+        good_comment_ct=f"IF(appraise IN ({good}), 1, 0)",
     )
 
 

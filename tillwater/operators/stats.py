@@ -78,7 +78,7 @@ def province_stats(
 ) -> DataFrame:
     """Order amount and distinct orders per province and window."""
     rows = wide.select(
-        event_time(wide, "create_time").alias("et"), "order_id",
+        F.expr(event_time(wide, "create_time")).alias("et"), "order_id",
         F.col("split_total_amount").cast("decimal(20,2)").alias("amount"),
         *[F.col(source).alias(name) for name, source in PROVINCE_KEYS.items()],
     )

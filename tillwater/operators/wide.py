@@ -27,10 +27,10 @@ _FROM_PAYMENT = (
 
 def _timed(df: DataFrame, prefix: str, delay: str) -> DataFrame:
     """Prefix all columns and add the event time, `et`."""
-    timed = df.withColumn("et", event_time(df, "create_time"))
+    timed = df.withColumn("et", F.expr(event_time(df, "create_time")))
     if df.isStreaming:
         timed = timed.withWatermark("et", delay)
-    return timed.select([F.col(c).alias(prefix + c) for c in timed.columns])
+    return timed.toDF(*[prefix + c for c in timed.columns])
 
 
 def order_wide(

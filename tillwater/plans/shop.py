@@ -7,10 +7,11 @@ streaming; columns the tables lack are computed from ones they have.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillwater.functions import millis_to_timestamp, time_text
+from tillwater.functions.times import TIME_FORMAT
 from tillwater.operators.joins import Dim
 from tillwater.operators.wide import order_dims, product_dims
 
@@ -20,6 +21,24 @@ JUMP_WITHIN = "6 hours"
 DATABASE = "shop"
 ASOF = "2024-01-01 00:00:00"
 
+K = "CAST(get_json_object(props, '$.k') AS INT)"
+BRAND = "regexp_extract(p_brand, '([0-9]+)', 1)"
+# First letter and length tell the part types apart.
+CATEGORY = "CAST(ascii(p_type) * 100 + length(p_type) AS STRING)"
+
+
+def amount(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(20,2))"
+
+
+def text(ts: str) -> str:
+    return f"date_format({ts}, '{TIME_FORMAT}')"
+
+
+def times(ts: str) -> list[str]:
+    """The time as records carry it, and as a timestamp."""
+    return [f"{text(ts)} AS create_time", f"{ts} AS et"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,143 +55,105 @@ class Shop:
         read: Callable[[str], DataFrame] | None = None,
     ):
         self.spark = spark
-        self.batch = lambda name: table(spark, sf_dir, name)
+        # Each table's schema is looked up once.
+        self.batch = lru_cache(lambda name: table(spark, sf_dir, name))
         self.read = read or self.batch
 
     # --- logs ---------------------------------------------------------------
 
     def logs(self) -> DataFrame:
         """Events as log records, with their id as `tie`."""
-        k = F.get_json_object("props", "$.k").cast("int")
-        kind = F.col("event_type")
-        user = F.col("user_id")
-
-        def by_kind(values: dict[str, Column]) -> Column:
-            out = F.lit(None)
-            for name, value in values.items():
-                out = F.when(kind == name, value).otherwise(out)
-            return out.cast("string")
-
-        sku = k.cast("string")
-        common = F.struct(
-            user.cast("string").alias("mid"),
-            F.concat(F.lit("v"), k % 4).alias("vc"),
-            F.concat(F.lit("ch"), k % 3).alias("ch"),
-            (user % 25).cast("string").alias("ar"),
-            F.when(kind == "signup", "1").otherwise("0").alias("is_new"),
-        )
-        page = F.struct(
-            by_kind({
-                "signup": F.lit("home"), "view": F.lit("good_list"),
-                "click": F.lit("good_detail"), "purchase": F.lit("payment"),
-            }).alias("page_id"),
-            by_kind({
-                "view": F.lit("home"), "click": F.lit("good_list"),
-                "purchase": F.lit("good_detail"),
-            }).alias("last_page_id"),
-            by_kind({
-                "view": F.concat(F.lit("Word "), sku), "click": sku, "purchase": sku,
-            }).alias("item"),
-            by_kind({
-                "view": F.lit("keyword"), "click": F.lit("sku_id"),
-                "purchase": F.lit("sku_id"),
-            }).alias("item_type"),
-            F.round(F.col("value") * 1000).cast("long").alias("during_time"),
-        )
-        shown = F.transform(
-            F.sequence(F.lit(0), k % 3),
-            lambda i: F.struct(
-                ((k + i) % 100).cast("string").alias("item"),
-                F.when(i < 2, "sku_id").otherwise("activity_id").alias("item_type"),
-            ),
-        )
-        start = F.struct(F.lit("icon").alias("entry"), k.cast("long").alias("loading_time"))
-        return self.read("events").select(
-            F.col("event_id").alias("tie"),
-            common.alias("common"),
-            F.when(kind != "error", page).alias("page"),
-            F.when(kind.isin("signup", "view"), shown).alias("displays"),
-            F.when(kind == "error", start).alias("start"),
-            F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
+        events = self.read("events").withColumn("k", F.expr(K))
+        return events.selectExpr(
+            "event_id AS tie",
+            """named_struct(
+                'mid', CAST(user_id AS STRING), 'vc', concat('v', k % 4),
+                'ch', concat('ch', k % 3), 'ar', CAST(user_id % 25 AS STRING),
+                'is_new', IF(event_type = 'signup', '1', '0')
+            ) AS common""",
+            """IF(event_type <> 'error', named_struct(
+                'page_id', CASE event_type WHEN 'signup' THEN 'home' WHEN 'view' THEN 'good_list'
+                    WHEN 'click' THEN 'good_detail' WHEN 'purchase' THEN 'payment' END,
+                'last_page_id', CASE event_type WHEN 'view' THEN 'home'
+                    WHEN 'click' THEN 'good_list' WHEN 'purchase' THEN 'good_detail' END,
+                'item', CASE event_type WHEN 'view' THEN concat('Word ', k)
+                    WHEN 'click' THEN CAST(k AS STRING) WHEN 'purchase' THEN CAST(k AS STRING) END,
+                'item_type', CASE event_type WHEN 'view' THEN 'keyword'
+                    WHEN 'click' THEN 'sku_id' WHEN 'purchase' THEN 'sku_id' END,
+                'during_time', CAST(round(value * 1000) AS BIGINT)
+            ), NULL) AS page""",
+            """IF(event_type IN ('signup', 'view'), transform(
+                sequence(0, k % 3),
+                i -> named_struct(
+                    'item', CAST((k + i) % 100 AS STRING),
+                    'item_type', IF(i < 2, 'sku_id', 'activity_id')
+                )
+            ), NULL) AS displays""",
+            """IF(event_type = 'error', named_struct(
+                'entry', 'icon', 'loading_time', CAST(k AS BIGINT)
+            ), NULL) AS start""",
+            "unix_millis(CAST(ts AS TIMESTAMP)) AS ts",
         )
 
     def raw_logs(self) -> DataFrame:
         """The log records as the JSON text a collector would receive."""
-        logs = self.logs()
-        body = F.struct(*[c for c in logs.columns if c != "tie"])
-        return logs.select("tie", F.to_json(body).alias("value"))
+        return self.logs().selectExpr(
+            "tie", "to_json(struct(common, page, displays, start, ts)) AS value"
+        )
 
     def pages(self, delay: str | None = "3 seconds") -> DataFrame:
         """Page records with visitor and event time; on streams a watermark."""
-        logs = self.logs().filter(F.col("page").isNotNull())
-        timed = logs.withColumns(
-            {"mid": F.col("common.mid"), "et": millis_to_timestamp("ts")}
+        timed = self.logs().filter("page IS NOT NULL").selectExpr(
+            "*", "common.mid AS mid", "timestamp_millis(ts) AS et"
         )
         return timed.withWatermark("et", delay) if delay and timed.isStreaming else timed
 
     # --- database topics ----------------------------------------------------
 
     def order_info(self) -> DataFrame:
-        total = F.col("o_totalprice").cast("decimal(20,2)")
-        nothing = F.lit(0).cast("decimal(20,2)")
-        created = F.col("o_orderdate").cast("timestamp")
-        return self.read("orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.pmod("o_custkey", F.lit(25)).alias("province_id"),
-            F.col("o_orderstatus").alias("order_status"),
-            F.col("o_custkey").alias("user_id"),
-            total.alias("total_amount"), nothing.alias("activity_reduce_amount"),
-            nothing.alias("coupon_reduce_amount"), total.alias("original_total_amount"),
-            nothing.alias("feight_fee"), time_text(created).alias("create_time"),
-            created.alias("et"),
+        return self.read("orders").selectExpr(
+            "o_orderkey AS id", "pmod(o_custkey, 25) AS province_id",
+            "o_orderstatus AS order_status", "o_custkey AS user_id",
+            f"{amount('o_totalprice')} AS total_amount",
+            f"{amount('0')} AS activity_reduce_amount", f"{amount('0')} AS coupon_reduce_amount",
+            f"{amount('o_totalprice')} AS original_total_amount", f"{amount('0')} AS feight_fee",
+            *times("CAST(o_orderdate AS TIMESTAMP)"),
         )
 
     def order_detail(self) -> DataFrame:
-        price = F.col("l_extendedprice").cast("decimal(20,2)")
-        coupon = price * F.col("l_discount").cast("decimal(4,2)")
-        return self.read("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("sku_id"),
-            F.col("l_quantity").cast("long").alias("sku_num"),
-            time_text(F.col("l_shipdate").cast("timestamp")).alias("create_time"),
-            F.col("l_shipdate").cast("timestamp").alias("et"),
-            price.alias("split_total_amount"),
-            F.round(coupon, 2).cast("decimal(20,2)").alias("split_coupon_amount"),
+        price = amount("l_extendedprice")
+        return self.read("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS id", "l_orderkey AS order_id",
+            "l_partkey AS sku_id", "CAST(l_quantity AS BIGINT) AS sku_num",
+            *times("CAST(l_shipdate AS TIMESTAMP)"),
+            f"{price} AS split_total_amount",
+            f"CAST(round({price} * CAST(l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(20,2)) "
+            "AS split_coupon_amount",
         )
 
     def payment_info(self) -> DataFrame:
         """One payment per order, 0 to 89 minutes after it."""
-        minutes = F.pmod("o_orderkey", F.lit(90)).cast("int")
-        paid = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(mins=minutes)
-        return self.read("orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
-            F.col("o_totalprice").cast("decimal(20,2)").alias("total_amount"),
-            F.lit("order").alias("subject"),
-            F.col("o_orderpriority").alias("payment_type"),
-            time_text(paid).alias("create_time"),
-            time_text(paid).alias("callback_time"),
-            paid.alias("et"),
+        paid = (
+            "CAST(o_orderdate AS TIMESTAMP) "
+            "+ make_dt_interval(0, 0, CAST(pmod(o_orderkey, 90) AS INT))"
+        )
+        return self.read("orders").selectExpr(
+            "o_orderkey AS id", "o_orderkey AS order_id", "o_custkey AS user_id",
+            f"{amount('o_totalprice')} AS total_amount", "'order' AS subject",
+            "o_orderpriority AS payment_type", *times(paid),
+            f"{text(paid)} AS callback_time",
         )
 
     def refunds(self) -> DataFrame:
-        return self.read("lineitem").filter(F.col("l_returnflag") == "R").select(
-            F.col("l_partkey").alias("sku_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_extendedprice").cast("decimal(20,2)").alias("total_amount"),
-            time_text(F.col("l_shipdate").cast("timestamp")).alias("create_time"),
-            F.col("l_shipdate").cast("timestamp").alias("et"),
+        return self.read("lineitem").filter("l_returnflag = 'R'").selectExpr(
+            "l_partkey AS sku_id", "l_orderkey AS order_id",
+            f"{amount('l_extendedprice')} AS total_amount",
+            *times("CAST(l_shipdate AS TIMESTAMP)"),
         )
 
-    def _event_rows(self, kind: str, **extra: Column) -> DataFrame:
-        k = F.get_json_object("props", "$.k").cast("int")
-        return self.read("events").filter(F.col("event_type") == kind).select(
-            k.cast("long").alias("sku_id"),
-            time_text(F.col("ts").cast("timestamp")).alias("create_time"),
-            F.col("ts").cast("timestamp").alias("et"),
-            *[c.alias(n) for n, c in extra.items()],
+    def _event_rows(self, kind: str, *extra: str) -> DataFrame:
+        return self.read("events").filter(F.col("event_type") == kind).selectExpr(
+            f"CAST({K} AS BIGINT) AS sku_id", *times("CAST(ts AS TIMESTAMP)"), *extra
         )
 
     def favors(self) -> DataFrame:
@@ -182,14 +163,12 @@ class Shop:
         return self._event_rows("purchase")
 
     def comments(self) -> DataFrame:
-        k = F.get_json_object("props", "$.k").cast("int")
-        return self._event_rows("error", appraise=(F.lit(1200) + k % 6).cast("string"))
+        return self._event_rows("error", f"CAST(1200 + {K} % 6 AS STRING) AS appraise")
 
     def searches(self) -> DataFrame:
         """Whole documents as search texts, one a second."""
-        return self.read("documents").select(
-            F.col("text").alias("kw"),
-            F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id")).alias("et"),
+        return self.read("documents").selectExpr(
+            "text AS kw", "timestamp_seconds(1704067200 + doc_id) AS et"
         )
 
     def raw_changes(self) -> DataFrame:
@@ -247,56 +226,36 @@ class Shop:
 
     def users(self) -> DataFrame:
         """Customers with a birthday computed from their number."""
-        birthday = F.date_add(F.lit("1960-01-01").cast("date"), (F.col("c_custkey") * 37 % 15_000).cast("int"))
-        return self.batch("customer").select(
-            F.col("c_custkey").cast("string").alias("ID"),
-            F.col("c_mktsegment").alias("GENDER"),
-            F.date_format(birthday, "yyyy-MM-dd").alias("BIRTHDAY"),
+        return self.batch("customer").selectExpr(
+            "CAST(c_custkey AS STRING) AS ID", "c_mktsegment AS GENDER",
+            "CAST(date_add(DATE '1960-01-01', CAST(c_custkey * 37 % 15000 AS INT)) AS STRING) "
+            "AS BIRTHDAY",
         )
 
     def provinces(self) -> DataFrame:
-        return self.batch("nation").select(
-            F.col("n_nationkey").cast("string").alias("ID"),
-            F.col("n_name").alias("NAME"),
-            F.concat(F.lit("R"), "n_regionkey").alias("AREA_CODE"),
-            F.concat(F.lit("I"), "n_nationkey").alias("ISO_CODE"),
-            F.concat(F.lit("N-"), "n_nationkey").alias("ISO_3166_2"),
+        return self.batch("nation").selectExpr(
+            "CAST(n_nationkey AS STRING) AS ID", "n_name AS NAME",
+            "concat('R', n_regionkey) AS AREA_CODE", "concat('I', n_nationkey) AS ISO_CODE",
+            "concat('N-', n_nationkey) AS ISO_3166_2",
         )
 
-    @staticmethod
-    def _brand() -> Column:
-        return F.regexp_extract("p_brand", r"(\d+)", 1)
-
-    @staticmethod
-    def _category() -> Column:
-        # First letter and length tell the part types apart.
-        return (F.ascii("p_type") * 100 + F.length("p_type")).cast("string")
-
     def skus(self) -> DataFrame:
-        return self.batch("part").select(
-            F.col("p_partkey").cast("string").alias("ID"),
-            F.col("p_name").alias("SKU_NAME"),
-            F.col("p_retailprice").cast("string").alias("PRICE"),
-            F.col("p_size").cast("string").alias("SPU_ID"),
-            self._brand().alias("TM_ID"),
-            self._category().alias("CATEGORY3_ID"),
+        return self.batch("part").selectExpr(
+            "CAST(p_partkey AS STRING) AS ID", "p_name AS SKU_NAME",
+            "CAST(p_retailprice AS STRING) AS PRICE", "CAST(p_size AS STRING) AS SPU_ID",
+            f"{BRAND} AS TM_ID", f"{CATEGORY} AS CATEGORY3_ID",
         )
 
     def spus(self) -> DataFrame:
-        return self.batch("part").select(
-            F.col("p_size").cast("string").alias("ID"),
-            F.concat(F.lit("size "), "p_size").alias("SPU_NAME"),
+        return self.batch("part").selectExpr(
+            "CAST(p_size AS STRING) AS ID", "concat('size ', p_size) AS SPU_NAME"
         ).distinct()
 
     def trademarks(self) -> DataFrame:
-        return self.batch("part").select(
-            self._brand().alias("ID"), F.col("p_brand").alias("TM_NAME")
-        ).distinct()
+        return self.batch("part").selectExpr(f"{BRAND} AS ID", "p_brand AS TM_NAME").distinct()
 
     def categories(self) -> DataFrame:
-        return self.batch("part").select(
-            self._category().alias("ID"), F.col("p_type").alias("NAME")
-        ).distinct()
+        return self.batch("part").selectExpr(f"{CATEGORY} AS ID", "p_type AS NAME").distinct()
 
     def product_dims(self, *levels: str) -> list[Dim]:
         """The product lookup with the named levels above the sku; all by default."""

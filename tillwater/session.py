@@ -23,13 +23,20 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
 }
 
+# Settings that are fixed once a session runs.
+STATIC_SETTINGS = {
+    # Keeping a Python call site for every column expression makes building a
+    # large plan several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(app: str = "tillwater", master: str | None = None, **extra) -> SparkSession:
     """A session with the settings the library expects; `extra` wins."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **extra}.items():
+    for key, value in {**STATIC_SETTINGS, **RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
