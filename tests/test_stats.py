@@ -124,6 +124,40 @@ def test_product_words(spark):
     ]
 
 
+def test_words_may_come_from_elsewhere(spark):
+    import pandas as pd
+
+    @F.pandas_udf("array<string>")
+    def halves(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [t[: len(t) // 2], t[len(t) // 2:]])
+
+    texts = spark.createDataFrame([("redphone",)], "kw string").withColumn("et", F.timestamp_millis(F.lit(0)))
+    assert rows(stats.search_keywords(texts, words=halves), "keyword") == [("hone",), ("redp",)]
+    assert rows(stats.search_keywords(texts, words=halves), "ct") == [(1,), (1,)]
+
+
+def test_sql_functions_agree_with_the_columns(spark):
+    from tillwater import functions as fn
+    from tillwater.functions.sql import register
+
+    register(spark)
+    texts = spark.createDataFrame(
+        [("Red phone, red 4G", 1, 0, 3, "cart"), ("", None, 2, 0, "order")],
+        "txt string, a long, b long, c long, s string",
+    )
+    named = texts.selectExpr(
+        "split_words(txt) AS w", "positive_sources(a, b, c) AS p", "source_weight(s) AS v"
+    )
+    columns = texts.select(fn.tokenize("txt"), fn.positive_sources("a", "b", "c"), fn.source_weight("s"))
+    assert rows(named) == rows(columns)
+    query = spark.sql(
+        "SELECT word, ct FROM (SELECT split_words(txt) AS w, positive_sources(a, b, c) AS p FROM {t}) "
+        "LATERAL VIEW explode(w) g AS word LATERAL VIEW inline(p) h AS source, ct", t=texts,
+    )
+    assert query.count() == 6
+    assert "Join" not in query._jdf.queryExecution().optimizedPlan().toString()
+
+
 def serving(spark):
     return spark.createDataFrame(
         [("2022-04-01 00:00:00", 1, "b1", Decimal(5), 1), ("2022-04-01 23:59:55", 1, "b1", Decimal(6), 2),

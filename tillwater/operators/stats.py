@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwater.functions import (
     any_positive, event_time, local_text, parse_time, positive_sources, tokenize,
@@ -12,6 +14,10 @@ from tillwater.schemas import PRODUCT_AMOUNTS, PRODUCT_COUNTS, PRODUCT_ORDER_COU
 
 WINDOW = "5 seconds"
 
+# From a text column to an array of its distinct words. A dictionary segmenter
+# fits in here as a pandas UDF.
+Words = Callable[[str], Column]
+
 
 def _trail(df: DataFrame, delay: str, et: str = "et") -> DataFrame:
     return df.withWatermark(et, delay) if df.isStreaming else df
@@ -94,17 +100,19 @@ def province_stats(
 
 def search_keywords(
     texts: DataFrame, window: str = WINDOW, delay: str = "3 seconds",
-    tz: str | None = None,
+    tz: str | None = None, words: Words = tokenize,
 ) -> DataFrame:
     """How many searches held each word. `texts` has columns kw and et."""
-    words = _trail(texts, delay).select("et", F.explode(tokenize("kw")).alias("keyword"))
-    counts = words.groupBy(F.window("et", window), "keyword").agg(F.count("*").alias("ct"))
+    found = _trail(texts, delay).select("et", F.explode(words("kw")).alias("keyword"))
+    counts = found.groupBy(F.window("et", window), "keyword").agg(F.count("*").alias("ct"))
     return counts.select(
         *_bounds(tz), "keyword", F.lit("search").alias("source"), "ct"
     )
 
 
-def product_keywords(stats: DataFrame, delay: str = "3 seconds") -> DataFrame:
+def product_keywords(
+    stats: DataFrame, delay: str = "3 seconds", words: Words = tokenize
+) -> DataFrame:
     """Clicks, carts and orders credited to the words of the product's name.
 
     Emits each (window, word, source) once: on a stream the window end becomes
@@ -122,7 +130,7 @@ def product_keywords(stats: DataFrame, delay: str = "3 seconds") -> DataFrame:
             *[F.sum(c).alias(c) for c in counted]
         )
     pairs = _trail(rows, delay).select(
-        "et", "stt", "edt", F.explode(tokenize("sku_name")).alias("keyword"),
+        "et", "stt", "edt", F.explode(words("sku_name")).alias("keyword"),
         positive_sources(*counted).alias("pairs"),
     ).select("et", "stt", "edt", "keyword", F.inline("pairs"))
     sums = pairs.groupBy("et", "stt", "edt", "keyword", "source").agg(F.sum("ct").alias("ct"))

@@ -329,6 +329,7 @@ found AS (SELECT et, {_WORDS.format('item')} AS keyword FROM pages
           WHERE page_id = 'good_list' AND item_type = 'keyword' AND item IS NOT NULL)
 SELECT {_hour_bounds('et')}, keyword, 'search' AS source, count(*) AS ct FROM found GROUP BY ALL""",
     "product_keyword_sum": f"{_INTERACTIONS}, {PRODUCT_WORD_CTES} SELECT * FROM product_words",
+    "lateral_keywords": f"{_INTERACTIONS}, {PRODUCT_WORD_CTES} SELECT * FROM product_words",
     "log_split": f"""{_PAGES}
 SELECT 'start' AS output, mid, ts, 'icon' AS name, CAST(NULL AS VARCHAR) AS item FROM logs WHERE event_type = 'error'
 UNION ALL SELECT 'page', mid, ts, page_id, item FROM pages

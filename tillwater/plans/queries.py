@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwater import schemas
 from tillwater import functions as fn
+from tillwater.functions.sql import register
 from tillwater.operators import changes as ch, dashboard as dash, measures as m, stats
 from tillwater.operators.firsts import daily_unique, flag_new_visitors, latest_per_key
 from tillwater.operators.joins import MISSING, enrich
@@ -380,6 +381,27 @@ def source_unpivot(spark, sf_dir):
     )
 
 
+def lateral_keywords(spark, sf_dir):
+    """Product names cut and unpivoted in SQL, with two lateral views."""
+    s = shop(spark, sf_dir)
+    register(s.spark)
+    named = enrich(interactions(s), s.sku_dim())
+    return s.spark.sql(
+        """
+        SELECT stt, edt, keyword, source, sum(ct) AS ct
+        FROM (
+          SELECT stt, edt, split_words(sku_name) AS words,
+                 positive_sources(click_ct, cart_ct, order_ct) AS pairs
+          FROM {named} WHERE click_ct > 0 OR cart_ct > 0 OR order_ct > 0
+        )
+        LATERAL VIEW explode(words) w AS keyword
+        LATERAL VIEW inline(pairs) p AS source, ct
+        GROUP BY stt, edt, keyword, source
+        """,
+        named=named,
+    )
+
+
 BATCH = {
     "gmv_day": gmv_day,
     "gmv_on_date": gmv_on_date,
@@ -416,4 +438,5 @@ BATCH = {
     "text_functions": text_functions,
     "document_words": document_words,
     "source_unpivot": source_unpivot,
+    "lateral_keywords": lateral_keywords,
 }
