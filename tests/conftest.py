@@ -1,4 +1,3 @@
-import datetime as dt
 import tempfile
 
 import pytest
@@ -30,10 +29,6 @@ def folder():
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
 
-def at(ms: int) -> dt.datetime:
-    return dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=ms)
-
-
 def rows(df, *cols):
     """Rows as a sorted list of tuples."""
     picked = df.select(*cols) if cols else df

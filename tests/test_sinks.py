@@ -2,11 +2,11 @@
 
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tillwater import schemas
+from tillwater.functions import parse_time
 from tillwater.operators import dashboard as dash
 from tillwater.operators.joins import Dim
 from tillwater.operators.parsing import parse_json
@@ -17,7 +17,9 @@ from tillwater.sinks import (
     routed_file_sink, routing_sink, serving_sink, visible,
 )
 from tillwater.sinks.streams import routed_records
-from tillwater.sources import file_stream, read_dim, read_routes, read_serving, with_event_time
+from tillwater.sources import (
+    file_stream, json_stream, read_dim, read_routes, read_serving, with_event_time,
+)
 from tillwater.sources.streams import kafka_options
 from tillwater.streaming.runner import run_stage, start
 
@@ -147,6 +149,18 @@ def test_hidden_columns(spark):
     assert frame.columns == ["id", "set"] and visible(frame).columns == ["id"]
 
 
+def test_records_with_event_time_on_the_console(spark, folder, capfd):
+    texts = [json.dumps({"province_id": 7, "create_time": f"2022-04-01 10:00:0{i}"}) for i in range(2)]
+    add(spark, f"{folder}/in", texts)
+    shape = schemas.shape(province_id="bigint", create_time="string")
+    records = json_stream(file_stream(spark, f"{folder}/in", fmt="text"), shape)
+    timed = with_event_time(records, parse_time("create_time"), "3 seconds")
+    query = start(spark, console_sink(timed), f"{folder}/checkpoint", drain=True)
+    query.awaitTermination()
+    assert query.recentProgress[0]["eventTime"]["max"] == "2022-04-01T10:00:01.000Z"
+    assert "2022-04-01 10:00:01" in capfd.readouterr().out
+
+
 def test_topic_options():
     assert kafka_options("h:9092", "ods_log")["startingOffsets"] == "latest"
     earliest = kafka_options("h:9092", "dwm_order_wide", "earliest")
