@@ -21,18 +21,21 @@ TIMEOUT_ONLY = "timeout_only"
 
 BATCH_CHUNKS = 60
 STREAM_CHUNKS = 2
+GRAINS = 50
 
 
 def user_jump(
     pages: DataFrame, key: str, ts: str, is_entry: Column, tie: str,
     within: str = "5 seconds", mode: str = ENTRY_OR_TIMEOUT, chunk: str | None = None,
+    grain: str | None = None,
 ) -> DataFrame:
     """The entry records that are jumps.
 
     With e an entry and n the visitor's next record by (ts, tie), e is a jump
     iff there is no n, or n comes `within` or more later, or (first mode) n is
     an entry. On a stream `ts` must carry a watermark, and a jump appears once
-    it has passed the end of the chunk.
+    it has passed the end of the chunk at the latest; `grain` is the length of
+    the short windows described at `_stream_jumps`.
     """
     if mode not in (ENTRY_OR_TIMEOUT, TIMEOUT_ONLY):
         raise ValueError(f"unknown mode {mode!r}")
@@ -40,9 +43,6 @@ def user_jump(
     step = micros(chunk) if chunk else reach * (
         STREAM_CHUNKS if pages.isStreaming else BATCH_CHUNKS
     )
-    overlapping = F.window(
-        ts, f"{step + reach} microseconds", f"{step} microseconds"
-    )
     # Only entries can come out, so only they carry their whole record along.
     narrow = dict(
         _us=F.unix_micros(ts), _tie=F.col(tie), _entry=is_entry,
@@ -54,24 +54,10 @@ def user_jump(
         return late | next_entry if mode == ENTRY_OR_TIMEOUT else late
 
     if pages.isStreaming:
-        groups = pages.groupBy(overlapping.alias("_w"), key).agg(
-            F.sort_array(
-                F.collect_list(F.struct(*[c.alias(n) for n, c in narrow.items()]))
-            ).alias("_rows")
-        )
-        end = F.unix_micros("_w.start") + step
-        paired = F.transform(
-            "_rows",
-            lambda r, i: F.struct(r.alias("r"), F.get("_rows", i + 1).alias("n")),
-        )
-        jumps = F.filter(
-            paired,
-            lambda p: p["r"]["_entry"]
-            & (p["r"]["_us"] < end)
-            & settled(p["r"]["_us"], p["n"]["_us"], p["n"]["_entry"]),
-        )
-        return groups.select(F.explode(jumps).alias("_j")).select("_j.r._row.*")
+        fine = micros(grain) if grain else max(reach // GRAINS, 1)
+        return _stream_jumps(pages, key, ts, narrow, step, reach, fine, settled)
 
+    overlapping = F.window(ts, f"{step + reach} microseconds", f"{step} microseconds")
     copies = pages.select(
         F.col(key).alias("_key"), overlapping.alias("_w"),
         *[c.alias(n) for n, c in narrow.items()],
@@ -85,3 +71,59 @@ def user_jump(
         & (F.col("_us") < F.col("_start") + step)
         & settled(F.col("_us"), F.col("_next_us"), F.col("_next_entry"))
     ).select("_row.*")
+
+
+def _stream_jumps(pages, key, ts, narrow, step, reach, fine, settled) -> DataFrame:
+    """Two windowed aggregations, since a stream has no `lead`.
+
+    The first puts a visitor's records of one short window in order, which
+    settles all but the last of them. The second sees of each short window only
+    that last record and when the first one came, and settles the last records
+    over a chunk. So the longest list is as long as a chunk has short windows,
+    or as one short window has records.
+    """
+    def lists() -> DataFrame:
+        rows = F.collect_list(F.struct(*[c.alias(n) for n, c in narrow.items()]))
+        window = F.window(ts, f"{fine} microseconds")
+        return pages.groupBy(window.alias("_fine"), F.col(key).alias("_key")).agg(
+            F.sort_array(rows).alias("_rows")
+        )
+
+    def jumps_of(rows: str, follow, owned=lambda r: F.lit(True)) -> Column:
+        """Of a sorted array, the entries settled as jumps by what follows them."""
+        paired = F.transform(
+            rows, lambda r, i: F.struct(r.alias("r"), F.get(rows, i + 1).alias("n"))
+        )
+        return F.transform(
+            F.filter(paired, lambda p: owned(p["r"]) & follow(p["r"], p["n"])),
+            lambda p: p["r"]["_row"],
+        )
+
+    inside = jumps_of("_rows", lambda r, n: n.isNotNull() & r["_entry"] & settled(
+        r["_us"], n["_us"], n["_entry"]
+    ))
+    first, last = F.get("_rows", F.lit(0)), F.element_at("_rows", -1)
+    ends = lists().select(
+        "_key", F.window_time("_fine").alias("_at"),
+        last["_us"].alias("_us"), last["_entry"].alias("_entry"), last["_row"].alias("_row"),
+        first["_us"].alias("_first_us"), first["_entry"].alias("_first_entry"),
+    )
+    # An owned short window is followed by one that ends this much later at most.
+    span = step + reach + fine
+    chunks = ends.groupBy(
+        F.window("_at", f"{span} microseconds", f"{step} microseconds").alias("_w"), "_key"
+    ).agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.unix_micros("_at").alias("_at_us"), "_us", "_entry", "_first_us",
+            "_first_entry", "_row",
+        ))).alias("_ends")
+    )
+    end = F.unix_micros("_w.start") + step
+    between = jumps_of(
+        "_ends",
+        lambda r, n: r["_entry"] & settled(r["_us"], n["_first_us"], n["_first_entry"]),
+        lambda r: r["_at_us"] < end,
+    )
+    return lists().select(F.explode(inside).alias("_row")).unionByName(
+        chunks.select(F.explode(between).alias("_row"))
+    ).select("_row.*")
