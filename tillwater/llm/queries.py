@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, licenses
+from tillwater.llm import chat, licenses, quality
 from tillwater.llm.common import documents
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality score of every document."""
+    return quality.classify(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, base phrases, labels and usage score of every document."""
     return licenses.scan_licenses(documents(spark, sf_dir)).select(
@@ -33,6 +39,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
 }
