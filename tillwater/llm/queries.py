@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, licenses, quality
+from tillwater.llm import chat, licenses, quality, toxicity
 from tillwater.llm.common import documents
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weakly supervised toxicity score of every document."""
+    return toxicity.classify(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality score of every document."""
     return quality.classify(
@@ -39,6 +45,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
