@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, licenses, quality, toxicity
+from tillwater.llm import chat, licenses, quality, simhash, toxicity
 from tillwater.llm.common import documents
 
 
@@ -15,6 +15,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality score of every document."""
     return quality.classify(
@@ -46,6 +51,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_toxicity": op3_toxicity,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
