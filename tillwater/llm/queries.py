@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, licenses, quality, simhash, toxicity
+from tillwater.llm import chat, licenses, quality, simhash, toxicity, vptree
 from tillwater.llm.common import documents
 
 
@@ -26,6 +26,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors, by inner product, of every twentieth vector."""
+    return vptree.nearest(
+        spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 20 == 0)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, base phrases, labels and usage score of every document."""
     return licenses.scan_licenses(documents(spark, sf_dir)).select(
@@ -53,6 +59,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
 }
