@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, licenses, quality, simhash, toxicity, vptree
+from tillwater.llm import chat, licenses, mixing, quality, simhash, toxicity, vptree
 from tillwater.llm.common import documents
 
 
@@ -15,6 +15,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every document is taken for the target weights."""
+    return mixing.mix(documents(spark, sf_dir), mixing.domain_of(F.col("source"))).select(
+        "doc_id", "domain", "lang", "source", "n_tokens", "n_copies")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(documents(spark, sf_dir))
@@ -57,6 +63,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_toxicity": op3_toxicity,
+    "op5_source_mixing": op5_source_mixing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_nearest_neighbours": op8_nearest_neighbours,
@@ -64,6 +71,80 @@ QUERIES = {
     "op10_chat_format": op10_chat_format,
 }
 SQL: dict[str, str] = {
+    "op5_source_mixing": """
+        WITH docs AS (
+            SELECT doc_id, lang, source, len(regexp_extract_all(coalesce(text, ''),
+                    '[^ \\x09-\\x0D]+'))::BIGINT AS n_tokens,
+                CASE coalesce(try_cast(nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '')
+                        AS BIGINT), 0) % 3
+                    WHEN 1 THEN 'books' WHEN 2 THEN 'forums' ELSE 'web' END AS domain,
+                coalesce(lang, '') AS language, coalesce(source, '') AS origin
+            FROM documents
+        ), leaves AS (
+            SELECT domain, language, origin, sum(n_tokens)::BIGINT AS tokens
+            FROM docs GROUP BY ALL
+        ), d1 AS (
+            SELECT domain, sum(tokens * 2.0::DOUBLE) AS cap,
+                CASE domain WHEN 'web' THEN 0.5::DOUBLE WHEN 'books' THEN 0.3 ELSE 0.2 END AS w,
+                (SELECT sum(tokens) FROM leaves) * 0.5::DOUBLE AS budget
+            FROM leaves GROUP BY domain
+        ), d2 AS (
+            SELECT *, cap * sum(w) OVER (ORDER BY cap / w, domain
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                <= w * (budget - coalesce(sum(cap) OVER (ORDER BY cap / w, domain
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS filled
+            FROM d1
+        ), d3 AS (
+            SELECT domain, CASE WHEN filled THEN cap ELSE greatest(0,
+                (budget - coalesce(sum(cap) FILTER (filled) OVER (), 0)) * w
+                / sum(w) FILTER (NOT filled) OVER ()) END AS budget FROM d2
+        ), l1 AS (
+            SELECT domain, language, sum(tokens * 2.0::DOUBLE) AS cap,
+                CASE language WHEN 'en' THEN 0.55::DOUBLE WHEN 'de' THEN 0.2 WHEN 'fr' THEN 0.15
+                    WHEN 'es' THEN 0.1 ELSE 0.05 END AS w, any_value(d3.budget) AS budget
+            FROM leaves JOIN d3 USING (domain) GROUP BY domain, language
+        ), l2 AS (
+            SELECT *, cap * sum(w) OVER (PARTITION BY domain ORDER BY cap / w, language
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                <= w * (budget - coalesce(sum(cap) OVER (PARTITION BY domain
+                    ORDER BY cap / w, language
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS filled
+            FROM l1
+        ), l3 AS (
+            SELECT domain, language, CASE WHEN filled THEN cap ELSE greatest(0,
+                (budget - coalesce(sum(cap) FILTER (filled) OVER (PARTITION BY domain), 0)) * w
+                / sum(w) FILTER (NOT filled) OVER (PARTITION BY domain)) END AS budget
+            FROM l2
+        ), s1 AS (
+            SELECT domain, language, origin, tokens, tokens * 2.0::DOUBLE AS cap,
+                1.0::DOUBLE AS w, budget
+            FROM leaves JOIN l3 USING (domain, language)
+        ), s2 AS (
+            SELECT *, cap * sum(w) OVER (PARTITION BY domain, language ORDER BY cap / w, origin
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                <= w * (budget - coalesce(sum(cap) OVER (PARTITION BY domain, language
+                    ORDER BY cap / w, origin
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS filled
+            FROM s1
+        ), s3 AS (
+            SELECT domain, language, origin, tokens, floor(round(CASE WHEN filled THEN cap
+                ELSE greatest(0, (budget - coalesce(sum(cap) FILTER (filled)
+                    OVER (PARTITION BY domain, language), 0)) * w / sum(w) FILTER (NOT filled)
+                    OVER (PARTITION BY domain, language)) END, 3))::BIGINT AS budget
+            FROM s2
+        ), s4 AS (
+            SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs FROM s3
+        ), ranked AS (
+            SELECT docs.*, epochs, budget - epochs * tokens AS rest,
+                sum(n_tokens) OVER (PARTITION BY domain, language, origin
+                    ORDER BY md5('tillwater|' || epochs || '|'
+                        || coalesce(doc_id::VARCHAR, ''))) AS so_far
+            FROM docs JOIN s4 USING (domain, language, origin)
+        )
+        SELECT doc_id, domain, lang, source, n_tokens, (epochs
+            + CASE WHEN so_far <= rest AND n_tokens > 0 THEN 1 ELSE 0 END)::BIGINT AS n_copies
+        FROM ranked
+    """,
     "op10_chat_format": """
         WITH given AS (
             SELECT conv_id, turn, role, text FROM conversations
