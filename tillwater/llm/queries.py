@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, licenses, mixing, quality, simhash, toxicity, vptree
+from tillwater.llm import chat, decontamination, licenses, mixing, quality, simhash, toxicity, vptree
 from tillwater.llm.common import documents
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that overlap."""
+    return decontamination.contaminated(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weakly supervised toxicity score of every document."""
     return toxicity.classify(
@@ -62,6 +68,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_toxicity": op3_toxicity,
     "op5_source_mixing": op5_source_mixing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -71,6 +78,48 @@ QUERIES = {
     "op10_chat_format": op10_chat_format,
 }
 SQL: dict[str, str] = {
+    "op2_benchmark_decontamination": """
+        WITH d AS (
+            SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')),
+                '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+            FROM documents WHERE doc_id IS NOT NULL
+        ), b AS (
+            SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+                '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), masks(m, o, last) AS (VALUES
+            (0, [0, 1, 2, 3, 4, 5], 5), (1, [0, 1, 3, 4, 6, 7], 7), (2, [0, 2, 3, 6, 7, 9], 9)
+        ), ds AS (
+            SELECT doc_id, m, place, list_transform(o, lambda x: w[place + x]) AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS place FROM d), masks
+            WHERE place + last <= len(w)
+        ), bs AS (
+            SELECT item_id, m, place, list_transform(o, lambda x: w[place + x]) AS s
+            FROM (SELECT item_id, w, unnest(range(1, len(w) + 1)) AS place FROM b), masks
+            WHERE place + last <= len(w)
+        ), hits AS (
+            SELECT DISTINCT doc_id, item_id, ds.place - bs.place AS diagonal
+            FROM ds JOIN bs USING (m, s)
+        ), places AS (
+            SELECT doc_id, item_id, diagonal, len(b.w) AS n, place,
+                CASE WHEN d.w[place] = b.w[place - diagonal] THEN 1 ELSE -2 END AS v
+            FROM (SELECT *, unnest(range(greatest(1, diagonal + 1),
+                    least(len(d.w), diagonal + len(b.w)) + 1)) AS place
+                FROM hits JOIN d USING (doc_id) JOIN b USING (item_id)) x
+                JOIN d USING (doc_id) JOIN b USING (item_id)
+        ), sums AS (
+            SELECT *, sum(v) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY place) AS s
+            FROM places
+        ), stretches AS (
+            SELECT doc_id, item_id, n, s - least(0, coalesce(min(s) OVER (
+                PARTITION BY doc_id, item_id, diagonal ORDER BY place
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS score
+            FROM sums
+        )
+        SELECT doc_id, item_id, max(score)::INTEGER AS score, n::INTEGER AS n_item_words
+        FROM stretches GROUP BY doc_id, item_id, n
+        HAVING max(score) >= greatest(8, least(12, ceil(n * 0.6)))
+    """,
     "op5_source_mixing": """
         WITH docs AS (
             SELECT doc_id, lang, source, len(regexp_extract_all(coalesce(text, ''),
