@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, decontamination, licenses, mixing, quality, simhash, toxicity, vptree
+from tillwater.llm import chat, ctw, decontamination, licenses, mixing, quality, simhash, toxicity, vptree
 from tillwater.llm.common import documents
 
 
+def op1_context_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code length of every document under a model of the training fold."""
+    return ctw.score_held_out(documents(spark, sf_dir))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that overlap."""
     return decontamination.contaminated(
@@ -68,6 +73,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_context_tree_scoring": op1_context_tree_scoring,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_toxicity": op3_toxicity,
     "op5_source_mixing": op5_source_mixing,
