@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, ctw, decontamination, licenses, mixing, quality, simhash, toxicity, vptree
+from tillwater.llm import chat, ctw, decontamination, licenses, mixing, quality, repeats, simhash, toxicity, vptree
 from tillwater.llm.common import documents
 
 
@@ -26,6 +26,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without long byte strings that occur earlier."""
+    return repeats.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often every document is taken for the target weights."""
     return mixing.mix(documents(spark, sf_dir), mixing.domain_of(F.col("source"))).select(
@@ -76,6 +84,7 @@ QUERIES = {
     "op1_context_tree_scoring": op1_context_tree_scoring,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_toxicity": op3_toxicity,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
