@@ -25,10 +25,13 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     mark = fingerprint(now)
     while mark[0]:
         ways = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = ways.groupBy("u").agg(F.min("v").alias("m"))
-        large = ways.where("v > u").join(least, "u").select(
-            F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        # Written first, so that the join can split the rows of a node with many edges.
+        least = cut(ways.groupBy("u").agg(F.min("v").alias("m")), f"{purpose}-least")
+        large = cut(
+            ways.where("v > u").join(least, "u").select(
+                F.col("v").alias("u"), F.least("m", "u").alias("v")),
+            f"{purpose}-large")
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")), f"{purpose}-least")
         small = large.join(least, "u")
         following = cut(
             small.select("u", F.col("m").alias("v"))

@@ -1,8 +1,8 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Fingerprints that differ in at most RADIUS bits agree in one of RADIUS + 1 bands of bits
-at least, so distinct fingerprints meet in the cells (band, value of its bits). Within a
-cell they are sorted by population count and compared in tiles, with numpy exclusive-or
+The bits are cut into blocks. Fingerprints that differ in at most RADIUS bits agree in all
+blocks but RADIUS, so distinct fingerprints meet in the cells (choice of the other
+blocks, value of their bits); more fingerprints get more blocks. Within a cell they are sorted by population count and compared in tiles, with numpy exclusive-or
 and bit counts; tile pairs whose population counts differ by more than the radius are
 skipped. A task hands on a spanning star of the links it finds, and the stars of all
 cells are joined to components. A cell with more than MOST_IN_CELL fingerprints is cut
@@ -17,6 +17,7 @@ joins no component (component_id null); other columns are never read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -145,22 +146,42 @@ def linked(units: DataFrame, radius: int) -> DataFrame:
     return mapped(units, run, "a long, b long")
 
 
+def masks(radius: int, blocks: int) -> list[int]:
+    """Bit masks, one for each choice of blocks - radius of `blocks` blocks of bits.
+
+    Two fingerprints within the radius agree under at least one of them.
+    """
+    edges = [b * BITS // blocks for b in range(blocks + 1)]
+    block = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:], strict=False)]
+    return [sum(chosen) for chosen in combinations(block, blocks - radius)]
+
+
+def enough_blocks(n: int, radius: int, most: int) -> int:
+    """Fewest blocks for which an even spread leaves few fingerprints in a cell."""
+    blocks = radius + 1
+    while n >> (BITS * (blocks - radius) // blocks) > most // 8 and blocks < 2 * radius:
+        blocks += 1
+    return blocks
+
+
 def comparison_units(
-    classes: DataFrame, radius: int = RADIUS, most: int = MOST_IN_CELL,
+    classes: DataFrame, radius: int = RADIUS, most: int = MOST_IN_CELL, blocks: int | None = None,
 ) -> DataFrame:
     """Rows (unit, side, fp, rep): what has to be compared with each other, unit by unit."""
-    width = BITS // (radius + 1)
-    cell = [
-        F.shiftrightunsigned("fp", b * width).bitwiseAND((1 << width) - 1) * (radius + 1) + b
-        for b in range(radius + 1)]
-    placed = classes.select("fp", "rep", F.explode(F.array(*cell)).alias("cell"))
-    # There are (radius + 1) * 2^width cells at most, so this stays small.
+    blocks = blocks or enough_blocks(classes.count(), radius, most)
+    cells = [
+        F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(
+            F.lit(m - (1 << BITS) if m >> (BITS - 1) else m).cast("long")).alias("bits"))
+        for i, m in enumerate(masks(radius, blocks))]
+    placed = classes.select("fp", "rep", F.explode(F.array(*cells)).alias("c")).select(
+        "fp", "rep", F.xxhash64("c.mask", "c.bits").alias("cell"))
+    # Cells that fell on one number would only be compared more than they need.
     crowded = placed.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > most).select(
         "cell", F.ceil(F.col("n") / (8 * most)).cast("int").alias("salts"))
-    marked = placed.join(F.broadcast(crowded), "cell", "left")
+    marked = placed.join(crowded, "cell", "left")
     pop = F.bit_count("fp")
     calm = marked.where("salts IS NULL").select(
-        F.col("cell").cast("long").alias("cell"), F.lit(0).alias("a"), F.lit(0).alias("b"),
+        "cell", F.lit(0).alias("a"), F.lit(0).alias("b"),
         F.lit(0).alias("side"), "fp", "rep")
     # A crowded cell: tiles of (population count, salt); a unit for each pair of tiles
     # whose counts are near. A row goes to the units of its tile and each partner.
@@ -172,7 +193,7 @@ def comparison_units(
         F.greatest(F.lit(0), F.col("pop") - radius) * F.col("salts"),
         (F.col("pop") + radius + 1) * F.col("salts") - 1))
     paired = own.withColumn("partner", partner).select(
-        F.col("cell").cast("long").alias("cell"), F.least("tile", "partner").alias("a"),
+        "cell", F.least("tile", "partner").alias("a"),
         F.greatest("tile", "partner").alias("b"),
         F.when(F.col("tile") > F.col("partner"), 1).otherwise(0).alias("side"), "fp", "rep")
     both = calm.unionByName(paired.withColumn("side", F.col("side").cast("int")))
