@@ -10,6 +10,7 @@ Everything is a DataFrame expression.
 Benchmark tables of up to MOST_BROADCAST words are broadcast; document words then stream
 through two hash joins without a shuffle, the first of which drops places whose first
 word no item has. Larger benchmarks are joined by shuffled seeds, with equal results.
+Only documents with a hit are looked at again, to verify along the diagonals.
 
 Defined cases: null texts are empty; texts and items of fewer than SEED_WORDS words have
 no seeds and no hits; repeated rows with one doc_id count as one document that has the
@@ -32,6 +33,7 @@ SUBSTITUTION = 2
 #: and never below LEAST_SCORE.
 FULL_SCORE, SHARE, LEAST_SCORE = 12, 0.6, 8
 MOST_BROADCAST = 2_000_000
+CHUNK_WORDS = 128
 PARTS_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -77,38 +79,52 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 
 def seeds_of(items: DataFrame) -> DataFrame:
-    """(mask, seed, item_id, item_words, item_place) of every place of every item."""
+    """(mask, seed, item_id, item_place) of every place of every item."""
     placed = items.select("item_id", "item_words", F.posexplode("item_words").alias("at", "word"))
     each = F.array(*[seed(F.col("item_words"), F.col("at"), m) for m in MASKS])
     return placed.select(
-        "item_id", "item_words", F.col("at").alias("item_place"),
-        F.posexplode(each).alias("mask", "seed")).where("seed IS NOT NULL")
+        "item_id", F.col("at").alias("item_place"), F.posexplode(each).alias("mask", "seed")
+    ).where("seed IS NOT NULL")
+
+
+def chunks_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, start, chunk): CHUNK_WORDS words and the few more that a mask reaches over.
+
+    A place then carries a short list along, however long its document is.
+    """
+    reach = max(m[-1] for m in MASKS)
+    starts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(CHUNK_WORDS))
+    chunks = F.transform(starts, lambda s: F.struct(
+        s.alias("start"), F.slice("words", s + 1, CHUNK_WORDS + reach).alias("chunk")))
+    return docs.select("doc_id", F.inline(chunks))
 
 
 def hits_by_broadcast(docs: DataFrame, items: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Rows (doc_id, words, item_id, item_words, diagonal), joined as the words stream by."""
+    """Rows (doc_id, item_id, diagonal), joined as the words stream by."""
     first_words = items.select(F.explode("item_words").alias("word")).distinct()
-    places = docs.select("doc_id", "words", F.posexplode("words").alias("at", "word")).join(
+    places = chunks_of(docs).select(
+        "doc_id", "start", "chunk", F.posexplode("chunk").alias("at", "word"))
+    places = places.where(F.col("at") < CHUNK_WORDS).join(
         F.broadcast(first_words), "word", "left_semi")
-    each = F.array(*[seed(F.col("words"), F.col("at"), m) for m in MASKS])
-    seeded = places.select("doc_id", "words", "at", F.posexplode(each).alias("mask", "seed"))
+    each = F.array(*[seed(F.col("chunk"), F.col("at"), m) for m in MASKS])
+    seeded = places.select(
+        "doc_id", (F.col("start") + F.col("at")).alias("place"),
+        F.posexplode(each).alias("mask", "seed"))
     return seeded.where("seed IS NOT NULL").join(F.broadcast(seeds), ["mask", "seed"]).select(
-        "doc_id", "words", "item_id", "item_words",
-        (F.col("at") - F.col("item_place")).alias("diagonal"))
+        "doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("diagonal"))
 
 
 def hits_by_shuffle(docs: DataFrame, items: DataFrame, seeds: DataFrame) -> DataFrame:
-    """The same rows; only ids, places and seeds are shuffled before words are fetched."""
+    """The same rows, joined by shuffled seeds."""
+    places = F.sequence(F.lit(0), F.least(F.size("chunk"), F.lit(CHUNK_WORDS)) - 1)
     every = F.flatten(F.array(*[
-        F.transform("words", lambda w, i, mask=mask, m=m: F.struct(
-            F.lit(m).alias("mask"), i.alias("at"), seed(F.col("words"), i, mask).alias("seed")))
+        F.transform(places, lambda i, mask=mask, m=m: F.struct(
+            F.lit(m).alias("mask"), i.alias("at"), seed(F.col("chunk"), i, mask).alias("seed")))
         for m, mask in enumerate(MASKS)]))
-    seeded = docs.select("doc_id", F.explode(every).alias("s")).select(
-        "doc_id", F.col("s")["mask"].alias("mask"), F.col("s")["at"].alias("at"),
-        F.col("s")["seed"].alias("seed")).where("seed IS NOT NULL")
-    met = seeded.join(seeds.drop("item_words"), ["mask", "seed"]).select(
-        "doc_id", "item_id", (F.col("at") - F.col("item_place")).alias("diagonal")).distinct()
-    return met.join(docs, "doc_id").join(items, "item_id")
+    seeded = chunks_of(docs).select("doc_id", "start", F.inline(every))
+    return seeded.where("seed IS NOT NULL").join(seeds, ["mask", "seed"]).select(
+        "doc_id", "item_id",
+        (F.col("start") + F.col("at") - F.col("item_place")).alias("diagonal"))
 
 
 def contaminated(
@@ -121,9 +137,9 @@ def contaminated(
     worded = docs.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), words_of("text").alias("words"))
     join = hits_by_broadcast if n_words <= most_broadcast else hits_by_shuffle
-    hits = join(worded, items, seeds)
+    hits = cut(join(worded, items, seeds).distinct(), "decontamination-hits")
     size = F.size("item_words")
-    scored = hits.select(
+    scored = hits.join(items, "item_id").join(worded, "doc_id").select(
         "doc_id", "item_id", size.alias("n_item_words"),
         best_stretch(F.col("words"), F.col("item_words"), F.col("diagonal")).alias("score"))
     return scored.where(F.col("score") >= needed(F.col("n_item_words"))).groupBy(
