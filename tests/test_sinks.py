@@ -1,6 +1,7 @@
 """Sinks and sources, and the layers run end to end."""
 
 import json
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -8,13 +9,14 @@ from conftest import rows
 from tillwater import schemas
 from tillwater.functions import parse_time
 from tillwater.operators import dashboard as dash
+from tillwater.operators.changes import clean_changes, route
 from tillwater.operators.joins import Dim
 from tillwater.operators.parsing import parse_json
 from tillwater.plans import layers
 from tillwater.session import scratch_dir
 from tillwater.sinks import (
     compact_dim, console_sink, enriching_sink, file_sink, hidden, landing_sink,
-    routed_file_sink, routing_sink, serving_sink, visible,
+    routed_file_sink, routing_sink, serving_sink, visible, write_dims,
 )
 from tillwater.sinks.streams import routed_records
 from tillwater.sources import (
@@ -73,14 +75,75 @@ def test_changes_reach_facts_and_dimensions(spark, folder):
     facts = spark.read.parquet(f"{folder}/facts")
     assert rows(facts, "sink_table", "value") == [("dwd_order", '{"id":"8"}')]
 
-    compact_dim(spark, f"{folder}/dims/dim_user", f"{folder}/compact", ["ID"])
-    assert rows(read_dim(spark, f"{folder}/compact"), "ID", "NAME") == rows(users, "ID", "NAME")
+    # A base stands for the folders it names, and takes nothing from the others.
+    before = rows(users, "ID", "NAME")
+    covered = compact_dim(spark, f"{folder}/dims/dim_user")
+    assert len(covered) == 2
+    assert rows(read_dim(spark, f"{folder}/dims/dim_user"), "ID", "NAME") == before
+
+    # A query with a new checkpoint counts its batches from 0 again.
+    changes, _ = parse_json(file_stream(spark, f"{folder}/in", fmt="text"), schemas.CHANGE)
+    run(spark, routing_sink(
+        changes.filter("ts = 3"), lambda session: read_routes(session, routes), "shop",
+        f"{folder}/facts", f"{folder}/dims",
+    ), f"{folder}/checkpoint-2")
+    assert rows(read_dim(spark, f"{folder}/dims/dim_user"), "ID", "NAME") == before
+
+
+def written(spark, folder, config, *texts, ties=None):
+    """Changes through write_dims, one batch of a run of its own."""
+    ties = ties or range(len(texts))
+    raw = spark.createDataFrame(list(zip(texts, ties)), "value string, tie long")
+    routed = route(clean_changes(parse_json(raw, schemas.CHANGE)[0], "shop"), config)
+    write_dims(routed, config, folder, f"_run={uuid.uuid4().hex}/_batch=0")
 
 
-def test_a_retried_batch_is_written_once(spark, folder):
-    from tillwater.operators.changes import clean_changes, route
-    from tillwater.sinks import write_dims
+def user_routes(spark, update="id,name"):
+    return spark.createDataFrame(
+        [("user_info", "insert", "hbase", "dim_user", "id,name,nation", None, None),
+         ("user_info", "update", "hbase", "dim_user", update, None, None)], schemas.ROUTES
+    )
+
+
+def users_of(spark, folder, **options):
+    return rows(read_dim(spark, f"{folder}/dim_user", **options), "ID", "NAME", "NATION")
+
+
+def test_changes_of_one_second_keep_their_order(spark, folder):
+    texts = [change("user_info", "insert", 5, id=1, name="old", nation="n"),
+             change("user_info", "update", 5, id=1, name="new"),
+             change("user_info", "update", 5, id=1, name="newest")]
+    for ties in ([0, 1, 2], [0, 1, 2][::-1]):
+        here = f"{folder}/{ties[0]}"
+        order = sorted(range(3), key=lambda i: ties[i])
+        written(spark, here, user_routes(spark), *[texts[i] for i in order], ties=[0, 1, 2])
+        want = ["newest", "old"][ties[0] > 0]
+        assert users_of(spark, here) == [("1", want, "n")]
 
+
+def test_an_update_changes_the_columns_it_carries(spark, folder):
+    config = user_routes(spark)
+    written(spark, folder, config, change("user_info", "insert", 1, id=1, name="a", nation="n"),
+            change("user_info", "update", 1, id=2, name="only"))
+    written(spark, folder, config, change("user_info", "update", 2, id=1, name="b", nation="no"))
+    assert users_of(spark, folder) == [("1", "b", "n"), ("2", "only", None)]
+    # A null that is carried is a value; an older change that comes late is not newer.
+    written(spark, folder, config, change("user_info", "update", 3, id=1, name=None),
+            change("user_info", "update", 0, id=2, name="late"))
+    assert users_of(spark, folder) == [("1", None, "n"), ("2", "only", None)]
+    wanted = spark.createDataFrame([(2,), (9,)], "ID long")
+    assert users_of(spark, folder, wanted=wanted) == [("2", "only", None)]
+
+
+def test_a_lookup_cuts_the_log_before_it_groups(spark, folder):
+    written(spark, folder, user_routes(spark), change("user_info", "insert", 1, id=1, name="a"))
+    wanted = spark.createDataFrame([("1",)], "ID string")
+    plan = read_dim(spark, f"{folder}/dim_user", wanted=wanted)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Aggregate [ID") < text.index("LeftSemi")
+
+
+def test_a_retried_batch_is_written_once(spark, folder):
     raw = spark.createDataFrame([(change("user_info", "insert", 1, id=1, name="n"),)], "value string")
     config = spark.createDataFrame(
         [("user_info", "insert", "hbase", "dim_user", "id,name", None, None),
@@ -88,7 +151,7 @@ def test_a_retried_batch_is_written_once(spark, folder):
     )
     routed = route(clean_changes(parse_json(raw, schemas.CHANGE)[0], "shop"), config)
     for _ in range(2):
-        write_dims(routed, config, folder, 0)
+        write_dims(routed, config, folder)
     assert spark.read.parquet(f"{folder}/dim_user").count() == 1
     # A table without rows is there, with its columns.
     empty = read_dim(spark, f"{folder}/dim_sku")
@@ -117,8 +180,8 @@ def test_lookups_are_read_anew_for_every_batch(spark, folder):
         facts.write.mode("append").parquet(f"{folder}/in")
         stream = file_stream(spark, f"{folder}/in", facts.schema)
 
-        def lookups(session):
-            newest = session.read.parquet(dim).groupBy("ID").agg(F.max("N").alias("N"))
+        def lookups(batch):
+            newest = batch.sparkSession.read.parquet(dim).groupBy("ID").agg(F.max("N").alias("N"))
             return [Dim("n", newest, "k", {"name": "N"})]
 
         run(spark, enriching_sink(stream, lookups, f"{folder}/out"), f"{folder}/checkpoint")
@@ -196,7 +259,9 @@ def test_from_raw_log_to_dashboard(spark, folder):
         log("2", 5 * hour, page=page("good_detail", "good_list", "9", "sku_id")),
         "{broken",
     ]
-    far = [log("closing", 10**12, page=page("home", "home"))]
+    # Far-future records: one visitor goes on, one leaves at once and so is a jump.
+    far = [log("closing", 10**12, page=page("home", "home")),
+           log("leaving", 10**12, page=page("home"))]
     add(spark, f"{folder}/raw", texts)
     add(spark, f"{folder}/raw", far)
     add(spark, f"{folder}/raw", [log("closing", 2 * 10**12, page=page("home", "home"))])
@@ -204,7 +269,7 @@ def test_from_raw_log_to_dashboard(spark, folder):
 
     run(spark, landing_sink(file_stream(spark, f"{folder}/raw", fmt="text"), f"{folder}/landed"),
         f"{folder}/checkpoint/landing")
-    assert spark.read.parquet(f"{folder}/landed").count() == 9
+    assert spark.read.parquet(f"{folder}/landed").count() == 10
 
     def stage(function, sources, names):
         queries = run_stage(
@@ -223,7 +288,7 @@ def test_from_raw_log_to_dashboard(spark, folder):
 
     raw = lambda: file_stream(spark, f"{folder}/raw", fmt="text", files_per_batch=1)
     out = stage(layers.clean_log, {"raw": raw()}, ["start", "page", "display", "rejects"])
-    real = "common.mid <> 'closing'"
+    real = "common.mid NOT IN ('closing', 'leaving')"
     assert rows(out["rejects"]) == [("{broken",)]
     assert rows(out["start"], "common.mid", "common.is_new") == [("1", "1")]
     assert rows(out["page"].filter(real), "common.mid", "ts", "common.is_new") == [

@@ -340,7 +340,16 @@ SELECT event_id, mid, vc, ch, ar, page_id, item, item_type, during_time, ts FROM
 SELECT event_id, '{{"mid":"' || mid || '","page_id":"' || page_id || '"'
        || coalesce(',"last_page_id":"' || last_page_id || '"', '') || ',"ts":' || ts || '}}' AS text,
        mid, page_id, last_page_id, ts FROM pages""",
-    "log_rejects": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents",
+    "log_rejects": f"""{_PAGES}
+SELECT 'record' AS output, event_id AS tie, ts AS number FROM logs
+UNION ALL SELECT 'reject', doc_id, length(text) FROM documents""",
+    "product_rejects": f"""{_PAGES}, clicked AS (
+  SELECT event_id % 7 <> 0 AS good FROM pages WHERE item_type = 'sku_id'
+), carted AS (SELECT k % 5 <> 0 AS good FROM pages WHERE event_type = 'purchase')
+SELECT CASE WHEN g THEN 'counted' ELSE 'rejected' END AS output,
+       (SELECT count(*) FROM clicked WHERE good = g) AS click_ct,
+       (SELECT count(*) FROM carted WHERE good = g) AS cart_ct
+FROM (VALUES (true), (false)) t(g)""",
     "cdc_filter": f"""WITH {CHANGE_CTES}
 SELECT t AS source_table, type, CAST(key AS VARCHAR) AS id, data FROM kept""",
     "column_prune": f"WITH {CHANGE_CTES} SELECT sink_table, id, data FROM routed",
@@ -352,9 +361,11 @@ SELECT event_id, {_text('et')} AS time_text, ts // 1000 * 1000 AS millis,
        CAST(strftime(et, '%Y%m%d') AS INTEGER) AS day_key, CAST(hour(et) AS INTEGER) AS hour,
        {_text('et + INTERVAL 8 HOUR')} AS shanghai_text,
        strftime(et + INTERVAL 8 HOUR, '%Y-%m-%d') AS shanghai_day FROM pages""",
-    "text_functions": """SELECT event_id, true AS blank,
-       CASE event_type WHEN 'click' THEN 4 ELSE 8 END AS weight, event_type AS kind, 1 AS kept,
-       event_type AS plain FROM events""",
+    "text_functions": """SELECT event_id, event_id % 4 IN (0, 1) AS blank,
+       CAST(CASE event_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 4 WHEN 2 THEN 6 ELSE 8 END AS INTEGER) AS weight,
+       CASE WHEN event_id % 2 = 1 THEN event_type END AS kind,
+       CAST((event_id % 2 = 0)::INTEGER + (event_id % 3 = 0)::INTEGER AS INTEGER) AS kept,
+       CASE WHEN event_id % 2 = 0 THEN '' ELSE 'x-' END || event_type AS plain FROM events""",
     "document_words": f"SELECT doc_id, {_WORDS.format('text')} AS word FROM documents",
     "source_unpivot": f"{_INTERACTIONS} SELECT stt, sku_id, source, ct FROM sources",
 }
@@ -372,7 +383,18 @@ SQL |= {
     "log_landing_stream": f"{_PAGES} SELECT mid, ts, page_id FROM logs",
     "routed_facts_stream": f"""WITH {CHANGE_CTES}
 SELECT sink_table, data FROM routed WHERE sink_type = 'kafka'""",
-    "upserted_dims_stream": f"""WITH {CHANGE_CTES}
+    "log_split_stream": SQL["log_split"],
+    "serving_stream": SQL["province_stats"],
+    "upserted_dims_stream": """
+SELECT CAST(c_custkey AS VARCHAR) AS id,
+       c_name || CASE WHEN c_custkey % 2 = 1 THEN ' 3' ELSE ' 2' END AS name,
+       CAST(c_nationkey AS VARCHAR) AS nation FROM customer""",
+    "refreshed_lookup_stream": """
+SELECT o_orderkey AS order_id, o_custkey AS user_id,
+       c_name || CASE WHEN c_custkey % 2 = 1 THEN ' 3' ELSE ' 2' END AS user_name,
+       CAST(c_nationkey AS VARCHAR) AS user_nation
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
+    "routed_dims_stream": f"""WITH {CHANGE_CTES}
 SELECT sink_table, id, coalesce(c_name, p_name) AS name FROM routed
 LEFT JOIN customer ON sink_table = 'dim_user_info' AND id = CAST(c_custkey AS VARCHAR)
 LEFT JOIN part ON sink_table = 'dim_sku_info' AND id = CAST(p_partkey AS VARCHAR)

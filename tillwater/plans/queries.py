@@ -290,12 +290,34 @@ def json_records(spark, sf_dir):
 
 
 def log_rejects(spark, sf_dir):
-    """Documents are no log records: those that do not parse are all kept."""
-    documents = shop(spark, sf_dir).batch("documents").select(
-        "doc_id", F.col("text").alias("value")
-    )
-    _, rejects = parse_json(documents, schemas.LOG)
-    return rejects.select("doc_id", F.length("value").alias("n_chars"))
+    """Documents among log records: what parses and what does not, told apart."""
+    s = shop(spark, sf_dir)
+    documents = s.batch("documents").select(
+        F.col("doc_id").alias("tie"), F.col("text").alias("value"))
+    good, rejects = parse_json(s.raw_logs().unionByName(documents), schemas.LOG)
+    return good.select(
+        F.lit("record").alias("output"), "tie", F.col("ts").alias("number")
+    ).unionByName(rejects.select(
+        F.lit("reject").alias("output"), "tie", F.length("value").cast("long").alias("number")))
+
+
+def product_rejects(spark, sf_dir):
+    """Clicks and carts, some with unreadable products or times: counted and rejected."""
+    s = shop(spark, sf_dir)
+    pages = s.pages().withColumn("page", F.col("page").withField(
+        "item", F.when(F.col("tie") % 7 == 0, F.concat(F.lit("no "), F.col("page.item")))
+        .otherwise(F.col("page.item"))))
+    carts = s.carts().select("sku_id", F.when(
+        F.col("sku_id") % 5 == 0, F.lit("soon")).otherwise(F.col("create_time"))
+        .alias("create_time"))
+    good, bad = zip(*[m.split_usable(rows) for rows in (m.clicks(pages), m.carts(carts))],
+                    strict=True)
+    totals = stats.product_stats(list(good), DAY).agg(
+        F.sum("click_ct").alias("click_ct"), F.sum("cart_ct").alias("cart_ct"))
+    lost = m.union_all(list(bad)).agg(
+        F.sum("click_ct").alias("click_ct"), F.sum("cart_ct").alias("cart_ct"))
+    return totals.select(F.lit("counted").alias("output"), "*").unionByName(
+        lost.select(F.lit("rejected").alias("output"), "*"))
 
 
 # --- change records ---------------------------------------------------------------
@@ -354,16 +376,22 @@ def time_functions(spark, sf_dir):
 
 
 def text_functions(spark, sf_dir):
+    """Null, empty, blank and full text; keys that are there and keys that are not."""
     events = shop(spark, sf_dir).batch("events")
-    data = F.create_map(F.lit("k"), F.lit("a"), F.lit("kind"), F.col("event_type"))
-    upper = fn.upper_keys(data)
+    kind, n = F.col("event_type"), F.col("event_id")
+    text = F.when(n % 4 == 1, "").when(n % 4 == 2, " ").when(n % 4 == 3, kind)
+    data = F.create_map(F.lit("k"), n.cast("string"), F.concat(F.lit("kind"), n % 2), kind)
+    wanted = F.concat(F.lit("kind0,x,"), F.when(n % 3 == 0, "k").otherwise("K"))
+    source = F.element_at(F.array(*[F.lit(w) for w in ("search", "click", "cart", "order", "x")]),
+                          (n % 5 + 1).cast("int"))
     return events.select(
         "event_id",
-        fn.is_blank(F.when(F.col("event_type") != "view", F.lit(""))).alias("blank"),
-        fn.source_weight("event_type").cast("int").alias("weight"),
-        upper["KIND"].alias("kind"),
-        F.size(fn.keep_keys(data, F.lit("kind,x"))).alias("kept"),
-        fn.drop_bootstrap(F.concat(F.lit("bootstrap-"), "event_type")).alias("plain"),
+        fn.is_blank(text).alias("blank"),
+        fn.source_weight(source).cast("int").alias("weight"),
+        fn.upper_keys(data)["KIND1"].alias("kind"),
+        F.size(fn.keep_keys(data, wanted)).alias("kept"),
+        fn.drop_bootstrap(F.concat(
+            F.when(n % 2 == 0, "bootstrap-").otherwise("x-bootstrap-"), kind)).alias("plain"),
     )
 
 
@@ -431,6 +459,7 @@ BATCH = {
     "display_explode": display_explode,
     "json_records": json_records,
     "log_rejects": log_rejects,
+    "product_rejects": product_rejects,
     "cdc_filter": cdc_filter,
     "column_prune": column_prune,
     "config_route": config_route,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwater import schemas
 from tillwater.operators import measures as m, stats
-from tillwater.operators.joins import enrich
+from tillwater.operators.joins import Dim, enrich
 from tillwater.operators.jumps import TIMEOUT_ONLY, user_jump
 from tillwater.operators.logs import flatten_displays
 from tillwater.operators.parsing import parse_json
@@ -25,10 +25,12 @@ from tillwater.plans.queries import (
 )
 from tillwater.plans.shop import DATABASE, JUMP_WITHIN, LINE_LOWER, LINE_UPPER, Shop
 from tillwater.session import scratch_dir, tune
-from tillwater.sinks import landing_sink, routing_sink
-from tillwater.sources import file_stream, read_dim
+from tillwater.sinks import (
+    compact_dim, enriching_sink, hidden, landing_sink, routing_sink, serving_sink,
+)
+from tillwater.sources import file_stream, read_dim, read_serving
 from tillwater.streaming.firsts import daily_unique_stream, flag_new_visitors_stream
-from tillwater.streaming.runner import drain_to_folder, start
+from tillwater.streaming.runner import drain_to_folder, start, start_split
 
 FAR = dt.datetime(2200, 1, 1)
 FAR_TEXT = "2200-01-01 00:00:00"
@@ -238,7 +240,8 @@ def routed_facts_stream(spark, sf_dir):
     )
 
 
-def upserted_dims_stream(spark, sf_dir):
+def routed_dims_stream(spark, sf_dir):
+    """Two dimensions from one routed stream, read back as tables."""
     s = StreamShop(spark, sf_dir, closing=False)
     _, dims = _routed(s)
     users = read_dim(s.spark, f"{dims}/dim_user_info").select(
@@ -252,6 +255,89 @@ def upserted_dims_stream(spark, sf_dir):
     )
 
 
+def _user_dim(s: StreamShop) -> str:
+    """All versions of the customers, upserted by two queries with a base in between.
+
+    Updates carry fewer columns than inserts. The second query has a checkpoint
+    of its own, so it numbers its batches from 0 as the first did.
+    """
+    base = scratch_dir(s.spark, "upserts")
+    routes = s.spark.createDataFrame(
+        [("user_info", "insert", "hbase", "dim_user", "id,name,nation", None, None),
+         ("user_info", "update", "hbase", "dim_user", "id,name", None, None)], schemas.ROUTES)
+    for wave in (1, 2):
+        changes, _ = parse_json(s.user_changes(wave), schemas.CHANGE)
+        writer = routing_sink(
+            changes, lambda _: routes, DATABASE, f"{base}/facts", f"{base}/dims")
+        start(s.spark, writer, f"{base}/checkpoint-{wave}", drain=True).awaitTermination()
+        if wave == 1:
+            compact_dim(s.spark, f"{base}/dims/dim_user")
+    return f"{base}/dims/dim_user"
+
+
+def upserted_dims_stream(spark, sf_dir):
+    """Several versions of each key, some of the same second, some late."""
+    s = StreamShop(spark, sf_dir, closing=False)
+    return read_dim(s.spark, _user_dim(s)).select(
+        F.col("ID").alias("id"), F.col("NAME").alias("name"), F.col("NATION").alias("nation"))
+
+
+def refreshed_lookup_stream(spark, sf_dir):
+    """Orders named from a dimension that is read anew, for the batch's keys only."""
+    s = StreamShop(spark, sf_dir, closing=False)
+    dim, out = _user_dim(s), scratch_dir(s.spark, "refreshed")
+    orders = s.order_info().select(F.col("id").alias("order_id"), "user_id")
+
+    def lookups(batch: DataFrame) -> list[Dim]:
+        asked = batch.select(F.col("user_id").alias("ID"))
+        users = read_dim(batch.sparkSession, dim, wanted=asked)
+        return [Dim("user", users, "user_id", {"user_name": "NAME", "user_nation": "NATION"})]
+
+    writer = enriching_sink(orders, lookups, f"{out}/rows")
+    start(s.spark, writer, f"{out}/checkpoint", drain=True).awaitTermination()
+    return s.spark.read.parquet(f"{out}/rows").select(
+        "order_id", "user_id", "user_name", "user_nation")
+
+
+def log_split_stream(spark, sf_dir):
+    """Start, page and display records from one query with one new-visitor state."""
+    s = StreamShop(spark, sf_dir)
+    raw = s.raw_logs()
+    repaired, _ = layers.repaired_log(raw, "1 hour")
+    out = scratch_dir(s.spark, "log_parts")
+    start_split(
+        s.spark, repaired, layers.log_parts, f"{out}/parts", f"{out}/checkpoint", drain=True,
+        state_partitions=s.spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
+    start_, page, display = (
+        s.spark.read.parquet(f"{out}/parts/{n}") for n in ("start", "page", "display"))
+    none = F.lit(None).cast("string")
+    return m.union_all([
+        start_.select(
+            F.lit("start").alias("output"), F.col("common.mid").alias("mid"), "ts",
+            F.col("start.entry").alias("name"), none.alias("item")),
+        page.select(
+            F.lit("page").alias("output"), F.col("common.mid").alias("mid"), "ts",
+            F.col("page.page_id").alias("name"), F.col("page.item").alias("item")),
+        display.select(
+            F.lit("display").alias("output"), "mid", "ts", F.col("page_id").alias("name"), "item"),
+    ]).filter(F.col("ts") < FAR_MILLIS)
+
+
+def serving_stream(spark, sf_dir):
+    """Province statistics through the serving sink, a field left out, and read back."""
+    s = StreamShop(spark, sf_dir)
+    named = enrich(s.wide_topic(), [d for d in s.order_dims() if d.name == "province"])
+    table = stats.province_stats(named, DAY).withColumn(
+        "left_out", hidden(F.lit("x"), "left_out"))
+    base = scratch_dir(s.spark, "serving")
+    start(
+        s.spark, serving_sink(table, f"{base}/rows"), f"{base}/checkpoint", drain=True,
+        state_partitions=s.spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
+    return plain(read_serving(s.spark, f"{base}/rows").drop("dt"))
+
+
 STREAMING = {
     f.__name__: f
     for f in (
@@ -260,6 +346,7 @@ STREAMING = {
         payment_wide_interval_stream, dim_enrich_stream, visitor_stats_stream,
         product_stats_stream, province_stats_stream, search_keyword_count_stream,
         product_keyword_sum_stream, display_explode_stream, log_landing_stream,
-        routed_facts_stream, upserted_dims_stream,
+        routed_facts_stream, routed_dims_stream, upserted_dims_stream, refreshed_lookup_stream,
+        log_split_stream, serving_stream,
     )
 }

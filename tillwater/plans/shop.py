@@ -208,6 +208,33 @@ class Shop:
         )
         return users.unionByName(skus).unionByName(orders)
 
+    def user_changes(self, wave: int) -> DataFrame:
+        """Versions of each customer, many within one second, in two waves.
+
+        An insert and an update of the same second come first; then a newer
+        update for odd numbers, and for all an older one that comes late.
+        """
+        key = F.col("c_custkey")
+
+        def change(kind: str, ts: Column, place: int, name: Column, *more: Column) -> Column:
+            data = F.struct(key.alias("id"), name.alias("name"), *more)
+            return F.struct(
+                F.to_json(F.struct(
+                    F.lit(DATABASE).alias("database"), F.lit("user_info").alias("table"),
+                    F.lit(kind).alias("type"), data.alias("data"), ts.alias("ts"),
+                )).alias("value"),
+                (key * 10 + place).alias("tie"))
+
+        nation = F.col("c_nationkey").alias("nation")
+        waves = {
+            1: [change("update", key, 2, F.concat("c_name", F.lit(" 2")), F.lit(-1).alias("nation")),
+                change("insert", key, 1, F.col("c_name"), nation)],
+            2: [F.when(key % 2 == 1, change("update", key + 1, 3, F.concat("c_name", F.lit(" 3")))),
+                change("update", key - 1, 4, F.lit("late"))],
+        }
+        return self.read("customer").select(
+            F.inline(F.array_compact(F.array(*waves[wave]))))
+
     def routes(self) -> DataFrame:
         """The routing config: two dimensions, one fact, and one unused sink."""
         return self.spark.createDataFrame(

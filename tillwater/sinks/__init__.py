@@ -13,6 +13,8 @@ from tillwater.sinks.streams import (
 from tillwater.sinks.tables import (
     compact_dim,
     enriching_sink,
+    fact_folders,
+    fact_topics,
     hidden,
     jdbc_sink,
     routing_sink,
@@ -21,7 +23,7 @@ from tillwater.sinks.tables import (
 )
 
 __all__ = [
-    "compact_dim", "console_sink", "enriching_sink", "file_sink", "hidden", "jdbc_sink", "kafka_sink",
+    "compact_dim", "console_sink", "enriching_sink", "fact_folders", "fact_topics", "file_sink", "hidden", "jdbc_sink", "kafka_sink",
     "landing_sink", "memory_sink", "routed_file_sink", "routed_kafka_sink",
     "routing_sink", "serving_sink", "visible", "write_dims",
 ]
