@@ -77,7 +77,7 @@ def test_slices_find_each_pair_once(spark):
 def test_the_slice_is_part_of_the_shuffle(spark):
     left = spark.range(5).select(F.col("id").alias("a"), F.timestamp_millis("id").alias("at"))
     right = left.toDF("b", "bt")
-    joined = interval_join(left, right, "a", "b", "at", "bt", "-4 seconds", "9 seconds")
+    joined = interval_join(left, right, "a", "b", "at", "bt", "-4 seconds", "9 seconds", "1 minute")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = joined._jdf.queryExecution().executedPlan().toString()

@@ -9,7 +9,6 @@ from tillwater import schemas
 from tillwater.operators.changes import clean_changes, dims, facts, match_routes, route
 from tillwater.operators.logs import split_log
 from tillwater.operators.parsing import parse_json, to_json_text
-from tillwater.operators.sizes import broadcast_if_small
 from tillwater.sources import literal_records
 
 
@@ -110,15 +109,3 @@ def test_routing(spark):
     ]
     assert rows(facts(routed), "sink_table", F.to_json("data")) == [("dwd_order", '{"id":"2"}')]
 
-
-def test_broadcast_only_below_the_bound(spark):
-    left, right = spark.range(10), spark.range(50)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        def plan(bound):
-            joined = left.join(broadcast_if_small(right, bound), "id")
-            return joined._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(50)
-        assert "BroadcastHashJoin" not in plan(49)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

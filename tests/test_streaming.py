@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -10,10 +11,11 @@ from tillwater.operators import measures as m, stats
 from tillwater.operators.firsts import daily_unique, flag_new_visitors
 from tillwater.operators.jumps import TIMEOUT_ONLY, user_jump
 from tillwater.operators.wide import order_wide
+from tillwater.plans.layers import timed_logs
 from tillwater.sinks import file_sink, memory_sink
 from tillwater.sources import file_stream
 from tillwater.streaming.firsts import daily_unique_stream, flag_new_visitors_stream
-from tillwater.streaming.runner import late_rows, start
+from tillwater.streaming.runner import LateRows, start, start_split
 
 DAY = 86_400_000
 FAR = ("closing", 20_000 * DAY, None)
@@ -153,15 +155,68 @@ def test_late_rows_are_dropped_and_counted(spark, folder):
     write_batches(logs, f"{folder}/in", [[0], [1], [2], [3]])
     stream = file_stream(spark, f"{folder}/in", logs.schema, files_per_batch=1)
     counts = stats.visitor_stats(stream, stream.filter("false"), stream.filter("false"))
-    query = start(
-        spark, file_sink(counts, f"{folder}/out"), f"{folder}/checkpoint", drain=True,
-        state_partitions=1,
-    )
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = start(
+            spark, file_sink(counts, f"{folder}/out"), f"{folder}/checkpoint", drain=True,
+            state_partitions=1,
+        )
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        assert rows(spark.read.parquet(f"{folder}/out"), "stt") == [
+            ("1970-01-01 00:01:40",), ("1970-01-01 00:03:20",)
+        ]
+        deadline = time.time() + 20
+        while not late.count(query) and time.time() < deadline:
+            time.sleep(0.1)
+        assert late.count(query) >= 1
+    finally:
+        spark.streams.removeListener(late)
+
+
+def test_an_input_that_runs_ahead_makes_no_others_late(spark, folder):
+    """Pages of all days are there in the first batch, jumps and uniques come later."""
+    logs = page_logs(visits(spark, [("a", 100_000, None), ("a", 9 * DAY, None), FAR]))
+    late = page_logs(visits(spark, [("a", 100_000, None), ("b", 100_500, None), FAR]))
+    write_batches(logs, f"{folder}/page", [[0, 1, 2]])
+    write_batches(late, f"{folder}/uv", [[0], [1], [2]])
+    write_batches(late, f"{folder}/uj", [[0], [1], [2]])
+    pages, uv, uj = (
+        file_stream(spark, f"{folder}/{n}", logs.schema, files_per_batch=1)
+        for n in ("page", "uv", "uj"))
+    table = drain(spark, stats.visitor_stats(pages, uv, uj), folder, 1)
+    totals = table.filter("stt < '1970-01-02'").agg(
+        F.sum("pv_ct").alias("pv"), F.sum("uv_ct").alias("uv"), F.sum("uj_ct").alias("uj"))
+    assert rows(totals, "pv", "uv", "uj") == [(1, 2, 2)]
+
+
+def test_one_query_for_all_parts_of_the_log(spark, folder):
+    """One source, one state; a batch that is written again replaces its own folder."""
+    logs = page_logs(visits(spark, [("a", 1_000, None), ("a", 2_000, "home"), ("b", 3_000, None), FAR]))
+    write_batches(logs, f"{folder}/in", [[0], [1], [2], [3]])
+    stream = file_stream(spark, f"{folder}/in", logs.schema, files_per_batch=2)
+
+    def split(batch):
+        return {"entries": batch.filter("page.last_page_id IS NULL"), "all": batch}
+
+    query = start_split(spark, stream, split, f"{folder}/out", f"{folder}/checkpoint", drain=True)
     query.awaitTermination()
-    assert rows(spark.read.parquet(f"{folder}/out"), "stt") == [
-        ("1970-01-01 00:01:40",), ("1970-01-01 00:03:20",)
-    ]
-    assert late_rows(query) >= 1
+    assert spark.read.parquet(f"{folder}/out/all").count() == 4
+    assert spark.read.parquet(f"{folder}/out/entries").count() == 3
+    assert len({r["_run"] for r in spark.read.parquet(f"{folder}/out/all").collect()}) == 1
+
+
+def test_a_long_backlog_of_one_visitor(spark, folder):
+    """Thousands of pending windows of one visitor come to the state in many frames."""
+    records = [("bot", 1_000 + 5_000 * i, None) for i in range(3_000)] + [FAR]
+    logs = page_logs(visits(spark, records))
+    logs.write.parquet(f"{folder}/in")
+    stream = timed_logs(file_stream(spark, f"{folder}/in", logs.schema))
+    flagged = flag_new_visitors_stream(stream, "mid", "et", "tie", "_new")
+    out = drain(spark, flagged.select("mid", "ts", "_new"), folder)
+    assert rows(out.filter("_new = 1 AND mid = 'bot'"), "ts") == [(1_000,)]
+    assert out.filter("mid = 'bot'").count() == 3_000
 
 
 def test_interval_join_on_streams(spark, folder):

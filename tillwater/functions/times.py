@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Fixed formats of the shop records.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -130,9 +131,16 @@ def day_range(c, date) -> Column:
     )
 
 
+def today() -> dt.date:
+    """The day in the session zone, in which times are written as text."""
+    session = SparkSession.getActiveSession()
+    zone = session.conf.get("spark.sql.session.timeZone") if session else "UTC"
+    return dt.datetime.now(ZoneInfo(zone)).date()
+
+
 def as_date(date) -> dt.date:
     if date in (None, 0, "0"):
-        return dt.date.today()
+        return today()
     if isinstance(date, dt.datetime):
         return date.date()
     if isinstance(date, dt.date):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillwater.functions import drop_bootstrap, keep_keys
-from tillwater.operators.sizes import broadcast_if_small
 
 # Fixed values of the routing config.
 FACT_SINK = "kafka"
@@ -28,10 +27,11 @@ def clean_changes(changes: DataFrame, database: str) -> DataFrame:
 
 
 def match_routes(changes: DataFrame, routes: DataFrame) -> DataFrame:
-    """Attach the config row for (table, type); records without one vanish."""
-    config = broadcast_if_small(
-        routes.withColumnsRenamed({"source_table": "table", "operate_type": "type"})
-    )
+    """Attach the config row for (table, type); records without one vanish.
+
+    Spark broadcasts the config by its size; nothing is forced.
+    """
+    config = routes.withColumnsRenamed({"source_table": "table", "operate_type": "type"})
     return changes.join(config, ["table", "type"])
 
 

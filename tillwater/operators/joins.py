@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillwater.functions import micros
 
-SLICES_PER_SPAN = 10
 MISSING = "missing_dims"
 
 
@@ -27,19 +26,20 @@ def interval_join(
     Column names of the two sides must differ. On streams both time columns
     must carry watermarks; the time bounds then let Spark drop old state.
 
-    In batch, time is cut into slices that join the equality condition: a right
-    row has one slice, a left row the one or two its interval touches. A key
-    that holds a large share of the rows is spread over its slices, and each
-    pair is still found exactly once. `slice` defaults to ten interval widths,
-    which copies one left row in ten.
+    The key is the whole equality condition, so tables that are bucketed or
+    partitioned by it need no shuffle, and adaptive execution splits a key with
+    many rows. Where it can't, `slice` (batch only) cuts time into slices that
+    join the equality condition: a right row has one slice, a left row those
+    that its interval touches. A key is then spread over its slices, and each
+    pair is still found exactly once.
     """
     low, high = micros(lower), micros(upper)
     match = (F.col(left_key) == F.col(right_key)) & F.col(right_ts).between(
         F.col(left_ts) + _interval(low), F.col(left_ts) + _interval(high)
     )
-    if left.isStreaming or right.isStreaming:
+    if slice is None or left.isStreaming or right.isStreaming:
         return left.join(right, match)
-    width = micros(slice) if slice else max(high - low, 1) * SLICES_PER_SPAN
+    width = micros(slice)
 
     def slice_of(ts: str, shift: int = 0) -> Column:
         at = F.unix_micros(ts) + F.lit(shift)
@@ -85,7 +85,7 @@ class Dim:
     def lookup(self, key_type: T.DataType) -> DataFrame:
         """The table to join: key, outputs, and a mark per level that it was found."""
         found = self.table.select(
-            F.col(self.id).cast(key_type).alias(f"_{self.name}_id"),
+            F.col(self.id).try_cast(key_type).alias(f"_{self.name}_id"),
             F.lit(True).alias(f"_{self.name}_hit"),
             *[
                 (F.col(c) if isinstance(c, str) else c).alias(name)

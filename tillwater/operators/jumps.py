@@ -77,17 +77,17 @@ def _stream_jumps(pages, key, ts, narrow, step, reach, fine, settled) -> DataFra
     """Two windowed aggregations, since a stream has no `lead`.
 
     The first puts a visitor's records of one short window in order, which
-    settles all but the last of them. The second sees of each short window only
-    that last record and when the first one came, and settles the last records
-    over a chunk. So the longest list is as long as a chunk has short windows,
-    or as one short window has records.
+    settles all but the last of them. The second sees of each short window that
+    last record, when the first one came and the jumps already found, and
+    settles the last records over a chunk. Both follow one reading of the
+    source. The longest list is as long as a chunk has short windows, or as one
+    short window has records.
     """
-    def lists() -> DataFrame:
-        rows = F.collect_list(F.struct(*[c.alias(n) for n, c in narrow.items()]))
-        window = F.window(ts, f"{fine} microseconds")
-        return pages.groupBy(window.alias("_fine"), F.col(key).alias("_key")).agg(
-            F.sort_array(rows).alias("_rows")
-        )
+    rows = F.collect_list(F.struct(*[c.alias(n) for n, c in narrow.items()]))
+    window = F.window(ts, f"{fine} microseconds")
+    lists = pages.groupBy(window.alias("_fine"), F.col(key).alias("_key")).agg(
+        F.sort_array(rows).alias("_rows")
+    )
 
     def jumps_of(rows: str, follow, owned=lambda r: F.lit(True)) -> Column:
         """Of a sorted array, the entries settled as jumps by what follows them."""
@@ -103,8 +103,8 @@ def _stream_jumps(pages, key, ts, narrow, step, reach, fine, settled) -> DataFra
         r["_us"], n["_us"], n["_entry"]
     ))
     first, last = F.get("_rows", F.lit(0)), F.element_at("_rows", -1)
-    ends = lists().select(
-        "_key", F.window_time("_fine").alias("_at"),
+    ends = lists.select(
+        "_key", inside.alias("_inside"), F.window_time("_fine").alias("_at"),
         last["_us"].alias("_us"), last["_entry"].alias("_entry"), last["_row"].alias("_row"),
         first["_us"].alias("_first_us"), first["_entry"].alias("_first_entry"),
     )
@@ -115,7 +115,7 @@ def _stream_jumps(pages, key, ts, narrow, step, reach, fine, settled) -> DataFra
     ).agg(
         F.sort_array(F.collect_list(F.struct(
             F.unix_micros("_at").alias("_at_us"), "_us", "_entry", "_first_us",
-            "_first_entry", "_row",
+            "_first_entry", "_row", "_inside",
         ))).alias("_ends")
     )
     end = F.unix_micros("_w.start") + step
@@ -124,6 +124,9 @@ def _stream_jumps(pages, key, ts, narrow, step, reach, fine, settled) -> DataFra
         lambda r, n: r["_entry"] & settled(r["_us"], n["_first_us"], n["_first_entry"]),
         lambda r: r["_at_us"] < end,
     )
-    return lists().select(F.explode(inside).alias("_row")).unionByName(
-        chunks.select(F.explode(between).alias("_row"))
+    # A chunk answers for the short windows that end in it.
+    settled_inside = F.flatten(F.transform(
+        F.filter("_ends", lambda r: r["_at_us"] < end), lambda r: r["_inside"]))
+    return chunks.select(
+        F.explode(F.concat(settled_inside, between)).alias("_row")
     ).select("_row.*")

@@ -69,16 +69,26 @@ def _product_row(
     """
     kind = f"'{kind}'" if kind else "NULL"
     return records.selectExpr(
-        f"{et} AS et", f"CAST({sku} AS BIGINT) AS sku_id",
-        f"CAST({kind} AS STRING) AS kind", f"CAST({order_id} AS BIGINT) AS order_id",
-        *[f"CAST(coalesce({measures.get(m, '0')}, 0) AS BIGINT) AS {m}" for m in PRODUCT_COUNTS],
+        f"{et} AS et", f"try_cast({sku} AS BIGINT) AS sku_id",
+        f"CAST({kind} AS STRING) AS kind", f"try_cast({order_id} AS BIGINT) AS order_id",
+        *[f"coalesce(try_cast({measures.get(m, '0')} AS BIGINT), 0) AS {m}" for m in PRODUCT_COUNTS],
         *[
-            f"CAST(coalesce({measures.get(m, '0')}, 0) AS DECIMAL(20,2)) AS {m}"
+            f"coalesce(try_cast({measures.get(m, '0')} AS DECIMAL(20,2)), CAST(0 AS DECIMAL(20,2))) AS {m}"
             for m in PRODUCT_AMOUNTS
         ],
     )
 
 
+def split_usable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(measure rows, rows whose product number or time cannot be read).
+
+    The second belong into a reject output: a window would drop the rows without a
+    time, and a product without a number names nothing.
+    """
+    usable = F.col("et").isNotNull() & F.col("sku_id").isNotNull()
+    return rows.filter(usable), rows.filter(~usable)
+
+
 def clicks(pages: DataFrame) -> DataFrame:
     hits = pages.filter(F.col("page.item_type") == SKU_ITEM)
     return _product_row(hits, "page.item", "timestamp_millis(ts)", click_ct="1")

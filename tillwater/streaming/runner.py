@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tillwater.session import ROCKSDB_PROVIDER, scratch_dir
+from tillwater.sinks.tables import batch_folder
 
 TRIGGER = "3 seconds"
 
@@ -74,10 +78,53 @@ def drain_to_folder(
     return f"{base}/out"
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the kept progress reports say came after the watermark."""
-    return sum(
-        op["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that each query dropped for coming after its watermark.
+
+    Add one with `spark.streams.addListener` before the queries start. It sums
+    over all progress reports; a query itself only keeps its last ones. Spark
+    counts rows as they reach the state, which is after partial aggregation, so
+    several late records of one group and task can count as one.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.dropped[str(event.progress.id)] += sum(
+            op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def count(self, query: StreamingQuery) -> int:
+        return self.dropped[str(query.id)]
+
+
+def start_split(
+    spark: SparkSession, df: DataFrame, split: Callable[[DataFrame], dict[str, DataFrame]],
+    path: str, checkpoint: str, **options,
+) -> StreamingQuery:
+    """One query with several outputs: each batch is kept, split and written to folders.
+
+    The source is read, and any state kept, once for all outputs, and they always
+    agree on where the stream stands. `split` takes a batch and returns named
+    frames; each goes to `{path}/{name}`, into a folder of the batch's own that a
+    retry overwrites. A name without rows gets its columns all the same.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            for name, out in split(kept).items():
+                out.write.mode("overwrite").parquet(
+                    f"{path}/{name}/{batch_folder(batch, batch_id)}")
+        finally:
+            kept.unpersist()
+
+    return start(spark, df.writeStream.foreachBatch(write), checkpoint, **options)
