@@ -15,7 +15,10 @@ SYMBOLS = 7  # of 9 bits each, in the first sort key
 
 
 class RunIndex:
-    """Index of segments given as one line of bytes and len + 1 offsets, in order of age."""
+    """Index of segments given as one line of bytes and len + 1 offsets, in order of age.
+
+    `depth` is SYMBOLS at least.
+    """
 
     def __init__(self, line: np.ndarray, offsets: np.ndarray, depth: int) -> None:
         n_segments = len(offsets) - 1
