@@ -1,6 +1,7 @@
 """Interval joins, wide tables and lookups."""
 
 import datetime as dt
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -74,6 +75,26 @@ def test_slices_find_each_pair_once(spark):
         assert rows(got, "l", "r") == want
 
 
+def test_tables_bucketed_by_the_key_join_without_a_shuffle(spark, folder):
+    names = []
+    for i, (key, at) in enumerate((("a", "at"), ("b", "bt"))):
+        name = f"bucketed_{uuid.uuid4().hex}"
+        frame = spark.range(50).select(
+            F.col("id").alias(key), F.timestamp_millis("id").alias(at))
+        frame.write.bucketBy(4, key).option("path", f"{folder}/{i}").saveAsTable(name)
+        names.append(name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = interval_join(
+            *map(spark.table, names), "a", "b", "at", "bt", "-4 seconds", "9 seconds")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and joined.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.sql(f"DROP TABLE {name}")
+
+
 def test_the_slice_is_part_of_the_shuffle(spark):
     left = spark.range(5).select(F.col("id").alias("a"), F.timestamp_millis("id").alias("at"))
     right = left.toDF("b", "bt")

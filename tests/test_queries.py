@@ -12,8 +12,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-# The rest of the streaming queries have their multi-batch tests.
-CHECKED = [*BATCH, "routed_facts_stream", "upserted_dims_stream", "order_wide_interval_stream"]
+CHECKED = [*BATCH, *STREAMING]
 
 
 @pytest.fixture(scope="module")

@@ -5,6 +5,6 @@ statistics and dashboard answers come out. Every transformation takes and
 returns DataFrames; most run unchanged on batch and streaming input.
 """
 
-from tillwater.session import build_session, scratch_dir, tune
+from tillwater.session import build_session, scratch_dir, staged, tune
 
-__all__ = ["build_session", "scratch_dir", "tune"]
+__all__ = ["build_session", "scratch_dir", "staged", "tune"]

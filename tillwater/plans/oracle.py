@@ -379,6 +379,7 @@ SQL |= {
         "display_explode",
     )
 }
+SQL["log_split_parts"] = SQL["log_split"]
 SQL |= {
     "log_landing_stream": f"{_PAGES} SELECT mid, ts, page_id FROM logs",
     "routed_facts_stream": f"""WITH {CHANGE_CTES}

@@ -13,12 +13,12 @@ from tillwater.operators import changes as ch, dashboard as dash, measures as m,
 from tillwater.operators.firsts import daily_unique, flag_new_visitors, latest_per_key
 from tillwater.operators.joins import MISSING, enrich
 from tillwater.operators.jumps import TIMEOUT_ONLY, user_jump
-from tillwater.operators.logs import flatten_displays, split_log
+from tillwater.operators.logs import flatten_displays, log_outputs, split_log
 from tillwater.operators.parsing import parse_json, to_json_text
 from tillwater.operators.wide import order_wide, payment_wide
 from tillwater.plans.layers import product_rows
 from tillwater.plans.shop import ASOF, DATABASE, JUMP_WITHIN, LINE_LOWER, LINE_UPPER, Shop
-from tillwater.session import tune
+from tillwater.session import staged, tune
 
 HOUR, DAY = "1 hour", "1 day"
 GMV_DATE = dt.date(1998, 6, 1)
@@ -55,8 +55,8 @@ def wide(s: Shop) -> DataFrame:
     return order_wide(s.order_info(), s.order_detail(), LINE_LOWER, LINE_UPPER)
 
 
-def paid(s: Shop) -> DataFrame:
-    return payment_wide(s.payment_info(), wide(s))
+def paid(s: Shop, orders: DataFrame | None = None) -> DataFrame:
+    return payment_wide(s.payment_info(), wide(s) if orders is None else orders)
 
 
 def visits(s: Shop, tz: str | None = None) -> DataFrame:
@@ -67,9 +67,12 @@ def visits(s: Shop, tz: str | None = None) -> DataFrame:
 
 
 def product_totals(s: Shop, named: bool = True) -> DataFrame:
+    # Orders and payments both start from the wide orders, so those are a stage.
+    orders = staged(wide(s).select(
+        "order_id", "sku_id", "sku_num", "split_total_amount", "create_time", "ts"), "order_wide")
     rows = product_rows(
         page=s.pages(), display=flatten_displays(s.logs()), favor=s.favors(),
-        cart=s.carts(), order_wide=wide(s), payment_wide=paid(s), refund=s.refunds(),
+        cart=s.carts(), order_wide=orders, payment_wide=paid(s, orders), refund=s.refunds(),
         comment=s.comments(),
     )
     totals = stats.product_stats(rows, DAY)
@@ -249,7 +252,14 @@ def _split(s: Shop):
 
 
 def log_split(spark, sf_dir):
-    """Every record of the three outputs, from JSON text."""
+    """Every record of the three outputs, from JSON text that is parsed once."""
+    s = shop(spark, sf_dir)
+    log, _ = parse_json(s.raw_logs(), schemas.LOG)
+    return log_outputs(log)
+
+
+def log_split_parts(spark, sf_dir):
+    """The three outputs as frames of their own, as the layers pass them on."""
     start, page, display = _split(shop(spark, sf_dir))
     none = F.lit(None).cast("string")
     return m.union_all([
@@ -456,6 +466,7 @@ BATCH = {
     "page_search_count": page_search_count,
     "product_keyword_sum": product_keyword_sum,
     "log_split": log_split,
+    "log_split_parts": log_split_parts,
     "display_explode": display_explode,
     "json_records": json_records,
     "log_rejects": log_rejects,

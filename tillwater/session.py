@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -48,6 +48,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written to the scratch space and read back, for use in several places."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for checkpoints and cut points.
 
