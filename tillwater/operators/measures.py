@@ -59,24 +59,53 @@ def jumps(uj: DataFrame) -> DataFrame:
 
 # --- products ---------------------------------------------------------------
 
-def _product_row(
-    records: DataFrame, sku: str, et: str, kind: str | None = None,
-    order_id: str = "NULL", **measures: str,
-) -> DataFrame:
-    """All arguments but `kind` are SQL over the record.
+def product_fields(
+    sku: str, et: str, kind: str | None = None, order_id: str = "NULL", **measures: str,
+) -> dict[str, str]:
+    """The fields of a measure row; all arguments but `kind` are SQL over the record.
 
     `kind` and `order_id` say which order the row belongs to, for counting.
     """
-    kind = f"'{kind}'" if kind else "NULL"
-    return records.selectExpr(
-        f"{et} AS et", f"try_cast({sku} AS BIGINT) AS sku_id",
-        f"CAST({kind} AS STRING) AS kind", f"try_cast({order_id} AS BIGINT) AS order_id",
-        *[f"coalesce(try_cast({measures.get(m, '0')} AS BIGINT), 0) AS {m}" for m in PRODUCT_COUNTS],
-        *[
-            f"coalesce(try_cast({measures.get(m, '0')} AS DECIMAL(20,2)), CAST(0 AS DECIMAL(20,2))) AS {m}"
+    zero = "CAST(0 AS DECIMAL(20,2))"
+    return {
+        "et": et, "sku_id": f"try_cast({sku} AS BIGINT)",
+        "kind": f"CAST({f"'{kind}'" if kind else 'NULL'} AS STRING)",
+        "order_id": f"try_cast({order_id} AS BIGINT)",
+        **{m: f"coalesce(try_cast({measures.get(m, '0')} AS BIGINT), 0)" for m in PRODUCT_COUNTS},
+        **{
+            m: f"coalesce(try_cast({measures.get(m, '0')} AS DECIMAL(20,2)), {zero})"
             for m in PRODUCT_AMOUNTS
-        ],
-    )
+        },
+    }
+
+
+def _product_row(records: DataFrame, *args: str, **measures: str) -> DataFrame:
+    return records.selectExpr(
+        *[f"{sql} AS {name}" for name, sql in product_fields(*args, **measures).items()])
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return f"named_struct({', '.join(f"'{name}', {sql}" for name, sql in fields.items())})"
+
+
+def log_measures(log: DataFrame, more: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """The measure rows of whole log records, clicks and displays, in one pass.
+
+    The same rows as `clicks` of the page records and `displays` of the display
+    records. `more` maps conditions to `product_fields` of further rows, for records
+    that carry several topics.
+    """
+    click = product_fields("page.item", "timestamp_millis(ts)", click_ct="1")
+    shown = product_fields(
+        "coalesce(page.item, d.item)", "timestamp_millis(ts)", display_ct="1")
+    cases = {f"start IS NULL AND page.item_type = '{SKU_ITEM}'": click, **(more or {})}
+    single = ", ".join(f"IF({condition}, {_struct(f)}, NULL)" for condition, f in cases.items())
+    return log.selectExpr(f"""inline(filter(concat(
+        array({single}),
+        coalesce(transform(IF(start IS NULL, displays, NULL), d -> IF(
+            coalesce(page.item_type, d.item_type) = '{SKU_ITEM}', {_struct(shown)}, NULL
+        )), array(IF(false, {_struct(click)}, NULL)))
+    ), r -> r IS NOT NULL))""")
 
 
 def split_usable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -130,11 +159,13 @@ def refunds(refund: DataFrame) -> DataFrame:
 
 
 def comments(comment: DataFrame) -> DataFrame:
-    good = ", ".join(f"'{a}'" for a in GOOD_APPRAISALS)
     return _product_row(
-        comment, "sku_id", event_time(comment, "create_time"), comment_ct="1",
-        good_comment_ct=f"IF(appraise IN ({good}), 1, 0)",
-    )
+        comment, "sku_id", event_time(comment, "create_time"), **comment_counts("appraise"))
+
+
+def comment_counts(appraise: str) -> dict[str, str]:
+    good = ", ".join(f"'{a}'" for a in GOOD_APPRAISALS)
+    return dict(comment_ct="1", good_comment_ct=f"IF({appraise} IN ({good}), 1, 0)")
 
 
 # --- keywords ---------------------------------------------------------------

@@ -16,7 +16,6 @@ from tillwater.operators.jumps import TIMEOUT_ONLY, user_jump
 from tillwater.operators.logs import flatten_displays, log_outputs, split_log
 from tillwater.operators.parsing import parse_json, to_json_text
 from tillwater.operators.wide import order_wide, payment_wide
-from tillwater.plans.layers import product_rows
 from tillwater.plans.shop import ASOF, DATABASE, JUMP_WITHIN, LINE_LOWER, LINE_UPPER, Shop
 from tillwater.session import staged, tune
 
@@ -70,11 +69,8 @@ def product_totals(s: Shop, named: bool = True) -> DataFrame:
     # Orders and payments both start from the wide orders, so those are a stage.
     orders = staged(wide(s).select(
         "order_id", "sku_id", "sku_num", "split_total_amount", "create_time", "ts"), "order_wide")
-    rows = product_rows(
-        page=s.pages(), display=flatten_displays(s.logs()), favor=s.favors(),
-        cart=s.carts(), order_wide=orders, payment_wide=paid(s, orders), refund=s.refunds(),
-        comment=s.comments(),
-    )
+    rows = [
+        s.event_measures(), m.orders(orders), m.payments(paid(s, orders)), m.refunds(s.refunds())]
     totals = stats.product_stats(rows, DAY)
     return enrich(totals, s.product_dims()) if named else totals
 

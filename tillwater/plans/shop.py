@@ -12,6 +12,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwater.functions.times import TIME_FORMAT
+from tillwater.operators import measures as m
 from tillwater.operators.joins import Dim
 from tillwater.operators.wide import order_dims, product_dims
 
@@ -63,9 +64,22 @@ class Shop:
 
     def logs(self) -> DataFrame:
         """Events as log records, with their id as `tie`."""
+        return self.event_records().drop("event_type", "k", "at")
+
+    def event_measures(self) -> DataFrame:
+        """Measure rows of all the topics that events stand for, in one pass over them."""
+        return m.log_measures(self.event_records(), {
+            "event_type = 'view'": m.product_fields("k", "at", favor_ct="1"),
+            "event_type = 'purchase'": m.product_fields("k", "at", cart_ct="1"),
+            "event_type = 'error'": m.product_fields(
+                "k", "at", **m.comment_counts("CAST(1200 + k % 6 AS STRING)")),
+        })
+
+    def event_records(self) -> DataFrame:
+        """Log records, and beside them the event's type, product and time."""
         events = self.read("events").withColumn("k", F.expr(K))
         return events.selectExpr(
-            "event_id AS tie",
+            "event_type", "k", "CAST(ts AS TIMESTAMP) AS at", "event_id AS tie",
             """named_struct(
                 'mid', CAST(user_id AS STRING), 'vc', concat('v', k % 4),
                 'ch', concat('ch', k % 3), 'ar', CAST(user_id % 25 AS STRING),
