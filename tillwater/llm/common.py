@@ -77,3 +77,24 @@ def sums_between(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def mapped(df: DataFrame, function, schema: str) -> DataFrame:
     """mapInArrow, named to keep the callers short."""
     return df.mapInArrow(function, schema)
+
+
+def groups(batches: Iterator[pa.RecordBatch], least: int, size) -> Iterator[pa.Table]:
+    """Whole groups of equal first columns, gathered until `size` of them reaches `least`."""
+    held: list[pa.RecordBatch] = []
+    held_size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        held_size += size(batch)
+        if held_size >= least:
+            table = pa.Table.from_batches(held).combine_chunks()
+            first = table.column(0).to_numpy()
+            ends = np.flatnonzero(first[1:] != first[:-1]) + 1
+            if len(ends):
+                yield table.slice(0, int(ends[-1]))
+                held = table.slice(int(ends[-1])).combine_chunks().to_batches()
+                held_size = sum(map(size, held))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -8,12 +8,16 @@ texts. The result is one probability per byte and its code length in bits.
 
 How it is spread:
 1. Scan tasks count (context, byte) strings of DEPTH + 1 bytes and words; Spark sums them.
-2. Code lengths of nodes are summed from long contexts to short ones, one aggregation per
-   depth; the mixture then goes back from short contexts to long ones, one join per depth.
+2. Strings are dealt by the TOP bytes before the byte, of which a task holds whole
+   subtrees (of 256^(DEPTH - TOP + 1) strings at most). There code lengths are summed from
+   long contexts to short ones; the few shorter contexts are aggregated by Spark, and the
+   mixture goes back from short contexts to long ones.
 3. Documents are dealt to blocks of about BLOCK_BYTES. Each block asks for the strings and
    words that it holds, the answers are joined and come back to it, and it sums them per
    document. So the model has no bound, is never broadcast and never leaves Spark.
 
+Words are told apart by a hash of 62 bits.
+
 Texts are lower-cased (A-Z) and taken whole, with an end symbol, so that probabilities
 of all texts sum to one; contexts at the start of a text are filled with zero bytes.
 
@@ -32,15 +36,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwater.llm.common import cut, mapped, pieces, raw_bytes, remainder, texts
+from tillwater.llm.common import cut, groups, mapped, pieces, raw_bytes, remainder, texts
 
 DEPTH = 5
+#: Context bytes by which strings are dealt to tasks.
+TOP = 3
+#: Strings that a task handles at once, rounded up to whole subtrees.
+TREE_ROWS = 200_000
 BLOCK_BYTES = 48 << 20
 #: Blocks are made smaller than that, down to this, to occupy all shuffle partitions.
 LEAST_BLOCK_BYTES = 8 << 20
 END = 0xFF  # never a byte of UTF-8
 LN2 = float(np.log(2))
 ROWS_OUT = 200_000
+IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: For the words' hash: a random number for each byte, and 3 modulo 8, so that powers differ.
+BYTE_NUMBERS = np.random.default_rng(7).integers(1, 1 << 64, 256, np.uint64)
+RADIX = np.uint64(0x9E3779B97F4A7C13)
 
 
 def strings_of(column: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,77 +77,102 @@ def strings_of(column: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return strings[keep], starts + np.arange(n + 1)
 
 
-def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts in a row, and where each text's begin."""
-    lists = pc.ascii_split_whitespace(column)
-    owner = pc.list_parent_indices(lists)
-    flat = lists.flatten()
-    real = pc.not_equal(flat, "")
-    owner, flat = owner.filter(real).to_numpy(), flat.filter(real)
-    return flat, np.searchsorted(owner, np.arange(len(column) + 1))
-
-
-class Tally:
-    """Distinct keys with summed counts; merged now and then to stay small."""
-
-    def __init__(self, kind: pa.DataType) -> None:
-        self.schema = pa.schema([("key", kind), ("n", pa.int64())])
-        self.parts: list[pa.Table] = []
-        self.rows = self.merged = 0
-
-    def add(self, keys: pa.Array, counted: np.ndarray) -> None:
-        """`counted` marks the places that count as training; the others only add the key."""
-        coded = keys.dictionary_encode()
-        n = np.bincount(
-            coded.indices.to_numpy(), weights=counted, minlength=len(coded.dictionary))
-        self.parts.append(pa.table(
-            [coded.dictionary, pa.array(n.astype(np.int64))], schema=self.schema))
-        self.rows += len(n)
-        if self.rows > 2 * self.merged + 2_000_000:
-            self.merge()
-
-    def merge(self) -> pa.Table:
-        whole = pa.concat_tables(self.parts) if self.parts else self.schema.empty_table()
-        whole = whole.group_by("key").aggregate([("n", "sum")]).rename_columns(["key", "n"])
-        self.parts, self.rows, self.merged = [whole], whole.num_rows, whole.num_rows
-        return whole
-
-
-def tallied(batches: Iterator[pa.RecordBatch], depth: int) -> tuple[pa.Table, pa.Table]:
-    """Tallies of strings and words of batches (.., train, text)."""
-    strings, words = Tally(pa.int64()), Tally(pa.string())
+def powers(n: int) -> np.ndarray:
+    """The first n powers of RADIX, modulo 2^64."""
+    out = np.full(max(1, n), RADIX, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all words in a row, and where each text's begin.
+
+    A key is a negative number, so that no string has it: 62 bits of a polynomial over a
+    random number for each byte, its length and a final mixing.
+    """
+    held, starts = raw_bytes(column)
+    inside = ~IS_SPACE[held]
+    edge = np.zeros(len(held) + 1, bool)
+    edge[starts] = True
+    before, after = np.roll(inside, 1), np.roll(inside, -1)
+    first = np.flatnonzero(inside & (~before | edge[:-1])) if len(held) else starts[:0]
+    last = np.flatnonzero(inside & (~after | edge[1:])) if len(held) else starts[:0]
+    if not len(first):
+        return np.zeros(0, np.int64), np.zeros(len(starts), np.int64)
+    size = last - first + 1
+    begin = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(begin, size)
+    with np.errstate(over="ignore"):
+        terms = BYTE_NUMBERS[held[inside]] * powers(int(size.max()))[place]
+        code = np.add.reduceat(terms, begin) + size.astype(np.uint64) * BYTE_NUMBERS[0]
+        code ^= code >> np.uint64(32)
+        code *= RADIX
+        code ^= code >> np.uint64(29)
+    return -(code >> np.uint64(2)).view(np.int64) - 1, np.searchsorted(first, starts)
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[at], np.add.reduceat(counts, at)
+
+
+def distinct(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often each stands at a place that counts as training.
+
+    Sorted as key and flag in one number, which is faster than by the key alone
+    with an order to carry; keys leave the highest bit but the sign free.
+    """
+    if not len(keys):
+        return keys, keys
+    line = np.sort(keys * 2 + learn)
+    key = line >> 1
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[at], np.add.reduceat(line & 1, at)
+
+
+def tallied(batches: Iterator[pa.RecordBatch], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of batches (.., train, text, lower-case) and their training counts."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    rows = merged = 0
     for piece in pieces(batches):
-        text = pc.ascii_lower(piece.column("text"))
         train = pc.cast(piece.column("train"), pa.int8()).to_numpy()
-        found, starts = strings_of(text, depth)
-        strings.add(pa.array(found), np.repeat(train, np.diff(starts)))
-        flat, starts = words_of(text)
-        words.add(flat.cast(pa.string()), np.repeat(train, np.diff(starts)))
-    return strings.merge(), words.merge()
+        for keys, starts in (strings_of(piece.column("text"), depth), words_of(piece.column("text"))):
+            parts.append(distinct(keys, np.repeat(train, np.diff(starts))))
+            rows += len(parts[-1][0])
+        if rows > 2 * merged + 1_000_000:
+            parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+            rows = merged = len(parts[0][0])
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
+def lowered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", pc.ascii_lower(batch.column(at)))
 
 
-def counts(docs: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """Training counts (string, n) of all strings and (word, n) of all training words."""
+def counts(docs: DataFrame, depth: int) -> DataFrame:
+    """(key, n): training counts of all strings and of all training words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings, words = tallied(batches, depth)
-        words = words.filter(pc.greater(words.column("n"), 0))
-        for table, empty in ((strings, "word"), (words, "string")):
-            for batch in table.to_batches(max_chunksize=ROWS_OUT):
-                none = pa.nulls(
-                    batch.num_rows, pa.string() if empty == "word" else pa.int64())
-                key, n = batch.columns
-                yield pa.RecordBatch.from_arrays(
-                    [key, none, n] if empty == "word" else [none, key, n],
-                    names=["string", "word", "n"])
-
-    both = cut(
-        mapped(docs.select("train", "text"), run, "string long, word string, n long")
-        .groupBy("string", "word").agg(F.sum("n").alias("n")),
+        keys, n = tallied(lowered(batches), depth)
+        keep = (keys >= 0) | (n > 0)
+        keys, n = keys[keep], n[keep]
+        for at in range(0, len(keys), ROWS_OUT):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[at : at + ROWS_OUT]), pa.array(n[at : at + ROWS_OUT])],
+                names=["key", "n"])
+
+    return cut(
+        mapped(docs.select("train", "text"), run, "key long, n long")
+        .groupBy("key").agg(F.sum("n").alias("n")),
         "ctw-counts")
-    return (
-        both.where("word IS NULL AND string IS NOT NULL").select("string", "n"),
-        both.where("word IS NOT NULL").select("word", "n"))
 
 
 def log_gamma(x: Column) -> Column:
@@ -155,34 +192,82 @@ def log_estimate(zeros: Column, ones: Column) -> Column:
         - log_gamma(zeros + ones + 1.0))
 
 
-def decisions(strings: DataFrame, *more: str) -> DataFrame:
-    """Each string's eight decisions: node (context, bits so far) and bit."""
-    byte = F.col("string").bitwiseAND(0xFF)
-    each = F.array(*[
-        F.struct(
-            (F.shiftright("string", 8) * 256 + (1 << k) + F.shiftright(byte, 8 - k)).alias("node"),
-            F.shiftright(byte, 7 - k).bitwiseAND(1).alias("bit"))
-        for k in range(8)])
-    return strings.select("string", *more, F.explode(each).alias("d")).select(
-        "string", *more, F.col("d")["node"].alias("node"), F.col("d")["bit"].alias("bit"))
-
-
 def shorter(node: str, depth: int) -> Column:
-    """The node under the context without its farthest byte, `depth` bytes long after that."""
+    """The node under the nearest `depth` bytes of its context."""
     return F.col(node).bitwiseAND((1 << (8 * depth + 8)) - 1)
 
 
+def log_gammas(x: np.ndarray) -> np.ndarray:
+    z = x + 6
+    product = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5)
+    series = 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
+    return (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + series - np.log(product)
+
+
+class Subtree:
+    """All nodes with contexts of `top` to `depth` bytes above some strings.
+
+    Strings that share their nearest `top` context bytes must all be there.
+    """
+
+    def __init__(self, strings: np.ndarray, n: np.ndarray, depth: int, top: int) -> None:
+        byte = strings & 0xFF
+        context = (strings >> 8) << 8
+        node = np.concatenate([context | (1 << k) | (byte >> (8 - k)) for k in range(8)])
+        self.bit = np.concatenate([(byte >> (7 - k)) & 1 for k in range(8)])
+        count = np.tile(n, 8).astype(float)
+        nodes, self.leaf = np.unique(node, return_inverse=True)
+        ones = np.bincount(self.leaf, weights=count * self.bit, minlength=len(nodes))
+        zeros = np.bincount(self.leaf, weights=count, minlength=len(nodes)) - ones
+        # Levels from the longest contexts down to `top`: node, estimate, weight, parent.
+        self.levels = []
+        longer = None
+        for d in range(depth, top - 1, -1):
+            own = log_gammas(zeros + 0.5) + log_gammas(ones + 0.5) - np.log(np.pi) - log_gammas(
+                zeros + ones + 1)
+            if longer is None:
+                weight, mixed = np.ones(len(nodes)), own
+            else:
+                weight = 1 / (1 + np.exp(np.minimum(longer - own, 700)))
+                mixed = np.logaddexp(own, longer) - LN2
+            parents, parent = np.unique(nodes & ((1 << (8 * d)) - 1), return_inverse=True)
+            self.levels.append((nodes, (ones + 0.5) / (zeros + ones + 1), weight, parent))
+            self.top = {"node": nodes, "zeros": zeros, "ones": ones, "mixed": mixed}
+            nodes = parents
+            zeros, ones, longer = (
+                np.bincount(parent, weights=x, minlength=len(parents))
+                for x in (zeros, ones, mixed))
+        self.above = nodes
+
+    def bits(self, settled: np.ndarray, open_: np.ndarray) -> np.ndarray:
+        """Code length of each string, from the mixture so far at the nodes `above`."""
+        for _, estimate, weight, parent in reversed(self.levels):
+            settled = settled[parent] + open_[parent] * weight * estimate
+            open_ = open_[parent] * (1 - weight)
+        one = settled[self.leaf]
+        cost = -np.log2(np.where(self.bit == 1, one, 1 - one))
+        return cost.reshape(8, -1).sum(0)
+
+
 def code_lengths(strings: DataFrame, depth: int) -> DataFrame:
-    """(string, bits) for every string of `strings` (string, n)."""
-    levels: dict[int, DataFrame] = {}
-    nodes = decisions(strings.where("n > 0"), "n").groupBy("node").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).cast("double").alias("zeros"),
-        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).cast("double").alias("ones"))
-    # The longest contexts have no longer ones to mix with.
-    nodes = nodes.withColumn("own", log_estimate(F.col("zeros"), F.col("ones"))).select(
-        "node", "zeros", "ones", F.lit(1.0).alias("weight"), F.col("own").alias("mixed"))
-    levels[depth] = cut(nodes, f"ctw-depth-{depth}")
-    for d in range(depth - 1, -1, -1):
+    """(key, value): the bits of every string of `strings` (key, n)."""
+    top = min(TOP, depth)
+    near = F.shiftright("key", 8).bitwiseAND((1 << (8 * top)) - 1)
+    placed = strings.select(near.alias("near"), "key", F.col("n"))
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, TREE_ROWS, lambda b: b.num_rows):
+            _, key, n = (c.to_numpy() for c in table.columns)
+            found = Subtree(key, n, depth, top).top
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v) for v in found.values()], names=list(found))
+
+    levels = {top: cut(
+        mapped(
+            placed.repartition("near").sortWithinPartitions("near"), up,
+            "node long, zeros double, ones double, mixed double"),
+        f"ctw-depth-{top}")}
+    for d in range(top - 1, -1, -1):
         gathered = levels[d + 1].groupBy(shorter("node", d).alias("node")).agg(
             F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"),
             F.sum("mixed").alias("longer"))
@@ -196,29 +281,45 @@ def code_lengths(strings: DataFrame, depth: int) -> DataFrame:
                 (high + F.log1p(F.exp(low - high)) - LN2).alias("mixed")),
             f"ctw-depth-{d}")
     # `settled` is the probability of a 1 mixed so far, `open` the weight still to give.
-    asked = cut(decisions(strings).select("node").distinct(), "ctw-nodes")
     above = None
-    for d in range(depth + 1):
-        here = asked if d == depth else asked.select(shorter("node", d).alias("node")).distinct()
+    for d in range(top):
+        here = levels[d]
         if above is None:
             here = here.withColumns({"settled": F.lit(0.0), "open": F.lit(1.0)})
         else:
             here = here.withColumn("parent", shorter("node", d - 1)).join(
                 above.withColumnRenamed("node", "parent"), "parent")
         estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
-        # A context that training never saw has estimate 1/2, as all longer ones.
-        share = F.coalesce("weight", F.lit(1.0))
-        above = cut(
-            here.join(levels[d], "node", "left").select(
-                "node",
-                (F.col("settled") + F.col("open") * share * F.coalesce(estimate, F.lit(0.5)))
-                .alias("settled"),
-                (F.col("open") * (1 - share)).alias("open")),
-            f"ctw-mixed-{d}")
-    one = F.col("settled")
-    bits = -F.log2(F.when(F.col("bit") == 1, one).otherwise(1 - one))
-    return decisions(strings.select("string")).join(above, "node").groupBy("string").agg(
-        F.sum(bits).alias("bits"))
+        above = here.select(
+            "node",
+            (F.col("settled") + F.col("open") * F.col("weight") * estimate).alias("settled"),
+            (F.col("open") * (1 - F.col("weight"))).alias("open"))
+    above = cut(above, "ctw-above").withColumn("context", F.shiftright("node", 8))
+    # Every subtree gets the nodes of the context one byte shorter.
+    given = placed.select("near").distinct().withColumn(
+        "context", F.col("near").bitwiseAND((1 << (8 * (top - 1))) - 1)).join(above, "context")
+    both = placed.select(
+        "near", "key", "n", F.lit(None).cast("double").alias("settled"),
+        F.lit(None).cast("double").alias("open"))
+    both = both.unionByName(given.select(
+        "near", F.col("node").alias("key"), F.lit(None).cast("long").alias("n"), "settled",
+        "open"))
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, TREE_ROWS, lambda b: b.num_rows):
+            own = table.filter(table.column("n").is_valid())
+            key, n = own.column("key").to_numpy(), own.column("n").to_numpy()
+            tree = Subtree(key, n, depth, top)
+            mixture = table.filter(pc.invert(table.column("n").is_valid()))
+            nodes, first = np.unique(mixture.column("key").to_numpy(), return_index=True)
+            at = first[np.searchsorted(nodes, tree.above)]
+            bits = tree.bits(
+                mixture.column("settled").to_numpy()[at], mixture.column("open").to_numpy()[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(bits)], names=["key", "value"])
+
+    return mapped(
+        both.repartition("near").sortWithinPartitions("near"), down, "key long, value double")
 
 
 def n_blocks(docs: DataFrame, block_bytes: int, least: int) -> tuple[int, int]:
@@ -238,59 +339,76 @@ def score(
     """One row per row of `docs`; the model learns from the rows where `train` holds."""
     flagged = texts(docs).withColumn("train", F.coalesce(train, F.lit(False)))
     blocks, n_train = n_blocks(flagged, block_bytes, least_block)
-    strings, words = counts(flagged, depth)
+    counted = counts(flagged, depth)
+    words = counted.where("key < 0")
     sums = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
     total = (sums["tokens"] or 0) + n_train
     distinct = sums["distinct"] + (1 if n_train else 0)
-    lengths = cut(code_lengths(strings, depth), "ctw-lengths")
-
-    salt = F.pmod(F.xxhash64(F.col("doc_id"), F.octet_length("text")), F.lit(blocks))
-    dealt = flagged.select(salt.cast("int").alias("block"), "doc_id", "train", "text").repartition(
-        blocks, "block")
+    values = cut(
+        # Bits to seven digits: half the bytes to send. Counts stay exact.
+        code_lengths(counted.where("key >= 0"), depth)
+        .withColumn("value", F.col("value").cast("float").cast("double"))
+        .unionByName(words.select("key", F.col("n").cast("double").alias("value"))),
+        "ctw-values")
+
+    salt = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of one block as compressed bytes: the text goes through a shuffle."""
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for piece in pieces(lowered(batches)):
+            block = piece.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            edges = np.flatnonzero(np.diff(block[order], prepend=-1, append=-1))
+            rows = []
+            for a, b in zip(edges, edges[1:], strict=False):
+                some = piece.take(pa.array(order[a:b])).select(["doc_id", "train", "text"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, some.schema, options=options) as out:
+                    out.write_batch(some)
+                rows.append((int(block[order[a]]), sink.getvalue().to_pybytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()),
+                 pa.array([r[1] for r in rows], pa.binary())], names=["block", "packed"])
+
+    def unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for packed in table.column("packed"):
+            yield from pa.ipc.open_stream(packed.as_buffer())
+
+    dealt = mapped(
+        flagged.select(salt.alias("block"), "doc_id", "train", "text"), pack,
+        "block int, packed binary").repartition(blocks, "block")
 
     def ask(table: pa.Table) -> pa.Table:
-        asked, worded = tallied(iter(table.combine_chunks().to_batches()), depth)
-        block = table.column("block")[0].as_py()
-        key, word = asked.column("key").combine_chunks(), worded.column("key").combine_chunks()
+        keys, _ = tallied(unpacked(table), depth)
         return pa.table({
-            "block": pa.array(np.full(len(key) + len(word), block, np.int32)),
-            "string": pa.concat_arrays([key, pa.nulls(len(word), pa.int64())]),
-            "word": pa.concat_arrays([pa.nulls(len(key), pa.string()), word])})
-
-    asked = dealt.groupBy("block").applyInArrow(ask, "block int, string long, word string")
-    answers = asked.where("string IS NOT NULL").select("block", "string").join(
-        lengths, "string").select(
-        "block", "string", F.lit(None).cast("string").alias("word"), F.col("bits").alias("value"))
-    answers = answers.unionByName(
-        asked.where("word IS NOT NULL").select("block", "word").join(words, "word").select(
-            "block", F.lit(None).cast("long").alias("string"), "word",
-            F.col("n").cast("double").alias("value")))
+            "block": pa.array(np.full(len(keys), table.column("block")[0].as_py(), np.int32)),
+            "key": keys})
+
+    asked = dealt.groupBy("block").applyInArrow(ask, "block int, key long")
+    answers = asked.join(values, "key").select("block", "key", "value")
     base_norm = float(np.log10(total + distinct + 1))
     names = "doc_id long, train boolean, n_bytes long, n_tokens long, n_known long, " \
         "base_score double, bits double"
 
     def answer(table: pa.Table, given: pa.Table) -> pa.Table:
-        known = given.column("string").is_valid()
-        one = given.filter(known)
-        order = np.argsort(one.column("string").to_numpy())
-        keys = one.column("string").to_numpy()[order]
-        bits = one.column("value").to_numpy()[order]
-        rest = given.filter(pc.invert(known))
-        word_keys = rest.column("word").combine_chunks()
-        word_counts = np.append(rest.column("value").to_numpy(), 0.0)
+        keys, value = given.column("key").to_numpy(), given.column("value").to_numpy()
+        order = np.argsort(keys)
+        keys, value = keys[order], value[order]
+
+        def look_up(wanted: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+            return np.where(keys[at] == wanted, value[at], 0.0) if len(keys) else 0.0 * wanted
+
         out = []
-        for piece in pieces(iter(table.combine_chunks().to_batches())):
-            text = pc.ascii_lower(piece.column("text"))
-            found, starts = strings_of(text, depth)
+        for piece in pieces(unpacked(table)):
+            found, starts = strings_of(piece.column("text"), depth)
             coded = pa.array(found).dictionary_encode()
-            at = np.searchsorted(keys, coded.dictionary.to_numpy())
-            per_byte = bits[at][coded.indices.to_numpy()]
+            per_byte = look_up(coded.dictionary.to_numpy())[coded.indices.to_numpy()]
             cost = np.add.reduceat(per_byte, starts[:-1])
-            flat, word_starts = words_of(text)
-            coded = flat.cast(pa.string()).dictionary_encode()
-            at = pc.index_in(coded.dictionary, value_set=word_keys)
-            seen = word_counts[at.fill_null(len(word_counts) - 1).to_numpy()]
-            seen = seen[coded.indices.to_numpy()]
+            words, word_starts = words_of(piece.column("text"))
+            coded = pa.array(words).dictionary_encode()
+            seen = look_up(coded.dictionary.to_numpy())[coded.indices.to_numpy()]
             logs = np.concatenate([[0], np.cumsum(np.log10(seen + 1))])
             hits = np.concatenate([[0], np.cumsum(seen > 0)])
             first, last = word_starts[:-1], word_starts[1:]
