@@ -140,7 +140,7 @@ def mosaic(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"most_segments": 1}])
+@pytest.mark.parametrize("options", [{}, {"most_segments": 1}, {"most_rows": 3}])
 def test_repeats(spark, options):
     check_repeats(spark, mosaic(1, 60) + [(100, None), (101, "")], **options)
 

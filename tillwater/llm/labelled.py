@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Slots of the hash by which a bounded sample is taken.
-SLOTS = 1 << 20
+SLOTS = 1 << 40
 
 
 def one_label_each(labels: DataFrame, name: str) -> DataFrame:
