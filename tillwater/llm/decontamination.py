@@ -117,10 +117,13 @@ def hits_by_broadcast(docs: DataFrame, items: DataFrame, seeds: DataFrame) -> Da
 def hits_by_shuffle(docs: DataFrame, items: DataFrame, seeds: DataFrame) -> DataFrame:
     """The same rows, joined by shuffled seeds."""
     places = F.sequence(F.lit(0), F.least(F.size("chunk"), F.lit(CHUNK_WORDS)) - 1)
-    every = F.flatten(F.array(*[
-        F.transform(places, lambda i, mask=mask, m=m: F.struct(
-            F.lit(m).alias("mask"), i.alias("at"), seed(F.col("chunk"), i, mask).alias("seed")))
-        for m, mask in enumerate(MASKS)]))
+
+    def under(number: int, mask: tuple[int, ...]) -> Column:
+        return F.transform(places, lambda i: F.struct(
+            F.lit(number).alias("mask"), i.alias("at"),
+            seed(F.col("chunk"), i, mask).alias("seed")))
+
+    every = F.flatten(F.array(*[under(number, mask) for number, mask in enumerate(MASKS)]))
     seeded = chunks_of(docs).select("doc_id", "start", F.inline(every))
     return seeded.where("seed IS NOT NULL").join(seeds, ["mask", "seed"]).select(
         "doc_id", "item_id",
@@ -134,12 +137,15 @@ def contaminated(
     items = cut(items_of(benchmark), "decontamination-items")
     n_words = items.agg(F.sum(F.size("item_words")).alias("n")).first()["n"] or 0
     seeds = seeds_of(items)
-    worded = docs.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), words_of("text").alias("words"))
+    named = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text")
+    worded = named.select("doc_id", words_of("text").alias("words"))
     join = hits_by_broadcast if n_words <= most_broadcast else hits_by_shuffle
     hits = cut(join(worded, items, seeds).distinct(), "decontamination-hits")
     size = F.size("item_words")
-    scored = hits.join(items, "item_id").join(worded, "doc_id").select(
+    # The text is joined, not its words, which take more than twice the bytes.
+    again = hits.join(items, "item_id").join(named, "doc_id").withColumn("words", words_of("text"))
+    scored = again.select(
         "doc_id", "item_id", size.alias("n_item_words"),
         best_stretch(F.col("words"), F.col("item_words"), F.col("diagonal")).alias("score"))
     return scored.where(F.col("score") >= needed(F.col("n_item_words"))).groupBy(
