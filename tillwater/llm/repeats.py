@@ -35,12 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwater.llm.common import cut, mapped, raw_bytes
+from tillwater.llm.common import cut, groups, mapped, raw_bytes
 from tillwater.llm.runindex import RunIndex
 
 LENGTH = 100
 ANCHOR = 16
 MOST_SEGMENTS = 4096
+#: Rows of one anchor that a task holds at once.
+MOST_ROWS = 2_000_000
+VERY_MANY = 1 << 40
 INDEX_BYTES = 1 << 19
 PIECE = 4 << 20
 NULL_ID = -(1 << 63)
@@ -196,42 +199,51 @@ def scan(length: int):
     return run
 
 
-def groups(batches: Iterator[pa.RecordBatch], least: int, size) -> Iterator[pa.Table]:
-    """Whole groups of equal first columns, gathered until `size` of them reaches `least`."""
+def anchor_rows(
+    batches: Iterator[pa.RecordBatch], least: int, most: int,
+) -> Iterator[tuple[pa.Table, int | None]]:
+    """Rows of whole anchors, `least` at a time; and the anchor, if any, that was split
+    between kinds of segment because it alone has more than `most` rows. Rows that are
+    spans already come by themselves."""
     held: list[pa.RecordBatch] = []
-    held_size = 0
+    split: int | None = None
     for batch in batches:
+        is_span = pc.greater_equal(batch.column(7), 0)
+        if pc.any(is_span).as_py():
+            yield pa.Table.from_batches([batch.filter(is_span)]), None
+            batch = batch.filter(pc.invert(is_span))
         if not batch.num_rows:
             continue
         held.append(batch)
-        held_size += size(batch)
-        while held_size >= least:
-            table = pa.Table.from_batches(held).combine_chunks()
-            h = table.column(0).to_numpy()
-            ends = np.flatnonzero(h[1:] != h[:-1]) + 1
-            if not len(ends):
-                break
-            yield table.slice(0, int(ends[-1]))
-            held = table.slice(int(ends[-1])).combine_chunks().to_batches()
-            held_size = sum(map(size, held))
-            break
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
-def sort_out(length: int):
+        n = sum(b.num_rows for b in held)
+        if n < least:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        h = table.column("h").to_numpy()
+        ends = np.flatnonzero(h[1:] != h[:-1]) + 1
+        if not len(ends) and n >= most:
+            seg = table.column("seg").to_numpy()
+            ends = np.flatnonzero(seg[1:] != seg[:-1]) + 1
+            split = int(h[0]) if len(ends) else split
+        if len(ends):
+            yield table.slice(0, int(ends[-1])), split
+            split = split if split == h[-1] else None
+            table = table.slice(int(ends[-1])).combine_chunks()
+        held = table.to_batches()
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks(), split
+
+
+def sort_out(length: int, most: int):
     """From segments in order of anchor: spans of later equal ones (e >= 0), and the first
-    ones of anchors with several kinds (n_kinds > 1)."""
+    ones of anchors with several kinds (n_kinds > 1; very many, if the anchor was split)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, 200_000, lambda b: b.num_rows):
-            done = table.filter(pc.greater_equal(table.column("e"), 0))
-            if done.num_rows:
-                own = {k: done.column(k).to_numpy() for k in ("key", "rid", "p", "e")}
-                none = np.zeros(done.num_rows, np.int64)
+        for table, split in anchor_rows(batches, min(most, 200_000), most):
+            if table.column("e")[0].as_py() >= 0:
+                own = {k: table.column(k).to_numpy() for k in ("key", "rid", "p", "e")}
+                none = np.zeros(table.num_rows, np.int64)
                 yield columns(own | {"h": none, "n": none, "o": none, "kinds": none}, OUT)
-                table = table.filter(pc.less(table.column("e"), 0))
-            if not table.num_rows:
                 continue
             rows = {k: table.column(k).to_numpy() for k in KEY}
             order, later = collapsed(rows)
@@ -241,6 +253,8 @@ def sort_out(length: int):
             spans = merged({k: v[order[later]] for k, v in rows.items()}, length)
             owner = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
             kinds = np.bincount(owner, weights=fresh).astype(np.int64)[owner]
+            if split is not None:
+                kinds[h == split] = VERY_MANY
             # Ties stay too: their own strings may be later than those of another kind.
             open_ = order[~later & (kinds > 1)]
             yield columns(
@@ -415,6 +429,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def removed_spans(
     base: DataFrame, length: int = LENGTH, most_segments: int = MOST_SEGMENTS,
+    most_rows: int = MOST_ROWS,
 ) -> DataFrame:
     """(key, rid, starts, ends) of the bytes to remove, from rows (key, rid, text)."""
     names = "h long, seg long, key long, rid long, p long, n long, o long, e long"
@@ -423,7 +438,7 @@ def removed_spans(
         found.repartition("h", F.when(F.col("e") >= 0, F.col("key")))
         .sortWithinPartitions("h", "seg", "key", "p"))
     sorted_out = cut(
-        mapped(met, sort_out(length), ", ".join(f"{n} long" for n in OUT)), "repeats-met")
+        mapped(met, sort_out(length, most_rows), ", ".join(f"{n} long" for n in OUT)), "repeats-met")
     spans = sorted_out.where("e >= 0").select("key", "rid", "p", "e")
     listed = sorted_out.where("e < 0").groupBy("key", "rid").agg(
         F.collect_list(F.struct("h", "p", "n", "o", "kinds")).alias("wanted"))
