@@ -100,14 +100,33 @@ def mine(sample: DataFrame, n_toxic: int, n_clean: int) -> list[bytes]:
 FEATURES = N_LEXICON + 8
 
 
-def measure(text: bytes, mined: dict[bytes, int], insults: frozenset[bytes]) -> list[float]:
+def by_size(terms: list[bytes]) -> dict[int, dict[bytes, int]]:
+    """Voters of the terms: of whole words under 0, of beginnings under their size."""
+    voters: dict[int, dict[bytes, int]] = {0: {}, **{size: {} for size in PREFIXES}}
+    for i, term in enumerate(terms):
+        if term.startswith(b"^"):
+            voters[len(term) - 1][term[1:]] = i % N_LEXICON
+        else:
+            voters[0][term] = i % N_LEXICON
+    return voters
+
+
+def measure(
+    text: bytes, mined: dict[int, dict[bytes, int]], insults: frozenset[bytes],
+) -> list[float]:
     """Votes, packed into the first number, and the classifier's features of one text."""
     words = words_of(text)
     counts = [0] * N_LEXICON
     insulted: list[bytes] = []
     hit_words: set[bytes] = set()
+    whole, beginnings = mined[0], [(size, mined[size]) for size in PREFIXES]
     for word in set(words):
-        voters = {mined[t] for t in terms_of({word}) if t in mined}
+        voters = set()
+        if word in whole:
+            voters.add(whole[word])
+        for size, some in beginnings:
+            if word[:size] in some:
+                voters.add(some[word[:size]])
         if voters:
             hit_words.add(word)
             for v in voters:
@@ -131,7 +150,7 @@ def measure(text: bytes, mined: dict[bytes, int], insults: frozenset[bytes]) ->
 
 def measured(docs: DataFrame, terms: list[bytes]) -> DataFrame:
     """doc_id, votes (packed) and the features x of every row."""
-    mined = {t: i % N_LEXICON for i, t in enumerate(terms)}
+    mined = by_size(terms)
     insults = frozenset(w.encode() for w in INSULTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
