@@ -42,8 +42,10 @@ def cut(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about PIECE_BYTES of text each, one row at least."""
+def pieces(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = PIECE_BYTES,
+) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about `size` bytes of text each, one row at least."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
         if batch.num_rows == 0:
@@ -51,7 +53,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         _, starts = raw_bytes(batch.column(at))
         first = 0
         while first < batch.num_rows:
-            limit = starts[first] + PIECE_BYTES
+            limit = starts[first] + size
             last = max(first + 1, int(np.searchsorted(starts, limit, side="right")) - 1)
             yield batch.slice(first, last - first)
             first = last

@@ -46,9 +46,13 @@ TREE_ROWS = 200_000
 BLOCK_BYTES = 48 << 20
 #: Blocks are made smaller than that, down to this, to occupy all shuffle partitions.
 LEAST_BLOCK_BYTES = 8 << 20
+#: Of more blocks, several share a partition.
+MOST_PARTITIONS = 20_000
 END = 0xFF  # never a byte of UTF-8
 LN2 = float(np.log(2))
 ROWS_OUT = 200_000
+#: Bytes of text that are looked at at once; a place takes some 60 bytes of memory.
+PIECE = 2 << 20
 IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 #: For the words' hash: a random number for each byte, and 3 modulo 8, so that powers differ.
 BYTE_NUMBERS = np.random.default_rng(7).integers(1, 1 << 64, 256, np.uint64)
@@ -138,7 +142,7 @@ def tallied(batches: Iterator[pa.RecordBatch], depth: int) -> tuple[np.ndarray,
     """Distinct keys of batches (.., train, text, lower-case) and their training counts."""
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     rows = merged = 0
-    for piece in pieces(batches):
+    for piece in pieces(batches, size=PIECE + PIECE // 2):
         train = pc.cast(piece.column("train"), pa.int8()).to_numpy()
         for keys, starts in (strings_of(piece.column("text"), depth), words_of(piece.column("text"))):
             parts.append(distinct(keys, np.repeat(train, np.diff(starts))))
@@ -372,12 +376,22 @@ def score(
                  pa.array([r[1] for r in rows], pa.binary())], names=["block", "packed"])
 
     def unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Rows in batches of about PIECE: looked up alone, small ones repeat each other."""
+        held: list[pa.RecordBatch] = []
+        size = 0
         for packed in table.column("packed"):
-            yield from pa.ipc.open_stream(packed.as_buffer())
+            for batch in pa.ipc.open_stream(packed.as_buffer()):
+                held.append(batch)
+                size += batch.nbytes
+            if size >= PIECE:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     dealt = mapped(
         flagged.select(salt.alias("block"), "doc_id", "train", "text"), pack,
-        "block int, packed binary").repartition(blocks, "block")
+        "block int, packed binary").repartition(min(blocks, MOST_PARTITIONS), "block")
 
     def ask(table: pa.Table) -> pa.Table:
         keys, _ = tallied(unpacked(table), depth)
@@ -401,7 +415,7 @@ def score(
             return np.where(keys[at] == wanted, value[at], 0.0) if len(keys) else 0.0 * wanted
 
         out = []
-        for piece in pieces(unpacked(table)):
+        for piece in pieces(unpacked(table), size=PIECE + PIECE // 2):
             found, starts = strings_of(piece.column("text"), depth)
             coded = pa.array(found).dictionary_encode()
             per_byte = look_up(coded.dictionary.to_numpy())[coded.indices.to_numpy()]
