@@ -36,23 +36,32 @@ FAR = dt.datetime(2200, 1, 1)
 FAR_TEXT = "2200-01-01 00:00:00"
 FAR_MILLIS = int(FAR.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
 
-# The closing row of each table. Orders and lines differ in their order.
+# The closing rows of each table. Orders and lines differ in their order. Each
+# kind of event is an input of its own somewhere, with a watermark of its own.
 CLOSING = {
-    "events": dict(event_id=-1, ts=FAR, user_id=-1, event_type="signup", value=0.0, props='{"k": 0}'),
-    "orders": dict(o_orderkey=-1, o_custkey=-1, o_totalprice=0.0, o_orderdate=FAR),
-    "lineitem": dict(l_orderkey=-2, l_linenumber=0, l_extendedprice=0.0, l_discount=0.0, l_quantity=0.0, l_shipdate=FAR),
-    "documents": dict(doc_id=5_000_000_000, text=""),
+    "events": [
+        dict(event_id=-1 - i, ts=FAR, user_id=-1, event_type=kind, value=0.0, props='{"k": 0}')
+        for i, kind in enumerate(("signup", "view", "click", "purchase", "error"))
+    ],
+    "orders": [dict(o_orderkey=-1, o_custkey=-1, o_totalprice=0.0, o_orderdate=FAR)],
+    "lineitem": [dict(
+        l_orderkey=-2, l_linenumber=0, l_extendedprice=0.0, l_discount=0.0, l_quantity=0.0,
+        l_shipdate=FAR, l_returnflag="R",
+    )],
+    "documents": [dict(doc_id=5_000_000_000, text="")],
 }
+# The closing row of a topic that only carries a time.
+LATER = dict(ts=FAR_MILLIS, et=FAR, tie=-9)
 
 
 def followed_by(
-    spark: SparkSession, stream: DataFrame, schema: T.StructType, row: dict
+    spark: SparkSession, stream: DataFrame, schema: T.StructType, rows: list[dict]
 ) -> DataFrame:
-    """The stream and one closing row."""
+    """The stream and its closing rows."""
     folder = scratch_dir(spark, "closing")
-    values = tuple(row.get(f.name) for f in schema.fields)
+    values = [tuple(row.get(f.name) for f in schema.fields) for row in rows]
     loose = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    spark.createDataFrame([values], loose).coalesce(1).write.parquet(folder)
+    spark.createDataFrame(values, loose).coalesce(1).write.parquet(folder)
     return stream.unionByName(file_stream(spark, folder, loose))
 
 
@@ -84,7 +93,7 @@ class StreamShop(Shop):
         """Run a stage into a folder and read that folder as a stream."""
         folder = drain_to_folder(self.spark, df, purpose)
         stream = file_stream(self.spark, folder, df.schema)
-        return followed_by(self.spark, stream, df.schema, closing) if closing else stream
+        return followed_by(self.spark, stream, df.schema, [closing]) if closing else stream
 
     # --- stages -------------------------------------------------------------
 
@@ -152,15 +161,15 @@ def dim_enrich_stream(spark, sf_dir):
 def visitor_stats_stream(spark, sf_dir):
     """Three topics: pages, unique visitors and jumps."""
     s = StreamShop(spark, sf_dir)
-    uv = s.topic(s.uniques(), "unique_visitors")
-    uj = s.topic(s.jumps("entry_or_timeout"), "jumps")
+    uv = s.topic(s.uniques(), "unique_visitors", LATER)
+    uj = s.topic(s.jumps("entry_or_timeout"), "jumps", LATER)
     pages = s.pages(delay=None)
     return s.drain(stats.visitor_stats(pages, uv, uj, HOUR), "visitor_stats")
 
 
 def _product_totals(s: StreamShop) -> DataFrame:
     wide = s.wide_topic()
-    paid = s.topic(s.paid(wide), "payment_wide")
+    paid = s.topic(s.paid(wide), "payment_wide", dict(order_id=-3, ts=FAR_MILLIS))
     rows = layers.product_rows(
         page=s.pages(delay=None), display=flatten_displays(s.logs()), favor=s.favors(),
         cart=s.carts(), order_wide=wide, payment_wide=paid, refund=s.refunds(),

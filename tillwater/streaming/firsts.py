@@ -17,8 +17,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tillwater.functions import day_of, micros
 
 # No leading underscores: the state runner would rename such columns.
-_OUT = ["first_key", "first_us", "first_tie", "first_wt"]
-_OUT_SCHEMA = "first_key string, first_us long, first_tie long, first_wt timestamp"
+_OUT = ["first_key", "first_us", "first_tie", "first_wt", "first_row"]
+_OUT_SCHEMA = "first_key string, first_us long, first_tie long, first_wt timestamp, first_row string"
+# Keeps microseconds when a record passes the state as text.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 # A day is over by then, in any zone and with any clock change.
 _DAY_STATE_MS = 2 * 86_400_000
 
@@ -71,17 +73,18 @@ class FirstInScope(StatefulProcessor):
         pass
 
 
-def _firsts(pages: DataFrame, key, ts, tie, window, scope, keep_ms=None) -> DataFrame:
-    """(key, time, tie) of each visitor's first record of each scope."""
+def _firsts(pages: DataFrame, key, ts, tie, window, scope, row, keep_ms=None) -> DataFrame:
+    """(key, time, tie, row as text) of each visitor's first record of each scope."""
     order = F.struct(F.unix_micros(ts).alias("first_us"), F.col(tie).cast("long").alias("first_tie"))
     per_window = pages.groupBy(
         F.window(ts, window).alias("_w"),
         F.col(key).cast("string").alias("first_key"),
         scope.alias("scope"),
-    ).agg(F.min(order).alias("_first"))
+    ).agg(F.min(order).alias("_first"), F.min_by(row, order).alias("_record"))
     windows = per_window.select(
         "first_key", "scope", "_first.first_us", "_first.first_tie",
         F.window_time("_w").alias("first_wt"),
+        F.to_json("_record", _JSON).alias("first_row"),
     )
     return windows.groupBy("first_key").transformWithStateInPandas(
         FirstInScope(keep_ms), _OUT_SCHEMA, "Append", "EventTime", eventTimeColumnName="first_wt"
@@ -94,25 +97,17 @@ def daily_unique_stream(
 ) -> DataFrame:
     """Each visitor's earliest record of each day; `ts` carries the watermark.
 
-    As with new visitors, only key, time and tie pass the keyed state; the
-    records are joined back.
+    The record itself passes the keyed state, as text. Joining it back by time and
+    tie would be narrower, but after a quiet time of days the join's watermark is
+    past a record before its window is answered, and the record would be lost.
     """
+    fields = [c for c in pages.columns if c != ts]
+    row = F.struct(*fields, F.unix_micros(ts).alias("_event_us"))
+    schema = pages.select(row.alias("r")).schema["r"].dataType
     day = day_of(ts, tz).cast("string")
-    firsts = _firsts(pages, key, ts, tie, window, day, _DAY_STATE_MS)
-    return _joined_back(pages, firsts, key, ts, tie, window, "inner").select(*pages.columns)
-
-
-def _joined_back(pages, firsts, key, ts, tie, window, how) -> DataFrame:
-    span = F.expr(f"INTERVAL '{micros(window)}' MICROSECOND")
-    return pages.join(
-        firsts,
-        (F.col(key).cast("string") == F.col("first_key"))
-        & (F.unix_micros(ts) == F.col("first_us"))
-        & (F.col(tie).cast("long") == F.col("first_tie"))
-        & (F.col(ts) <= F.col("first_wt"))
-        & (F.col(ts) > F.col("first_wt") - span),
-        how,
-    )
+    firsts = _firsts(pages, key, ts, tie, window, day, row, _DAY_STATE_MS)
+    back = firsts.select(F.from_json("first_row", schema, _JSON).alias("r")).select("r.*")
+    return back.withColumn(ts, F.timestamp_micros("_event_us")).select(*pages.columns)
 
 
 def flag_new_visitors_stream(
@@ -125,8 +120,19 @@ def flag_new_visitors_stream(
     (key, ts, tie), so records themselves never pass through Python or gather
     by visitor. `ts` carries the watermark.
     """
-    firsts = _firsts(pages, key, ts, tie, window, F.lit("ever"))
-    joined = _joined_back(pages, firsts, key, ts, tie, window, "left_outer")
+    firsts = _firsts(
+        pages, key, ts, tie, window, F.lit("ever"), F.struct(F.lit(1).alias("one"))
+    ).drop("first_row")
+    span = F.expr(f"INTERVAL '{micros(window)}' MICROSECOND")
+    joined = pages.join(
+        firsts,
+        (F.col(key).cast("string") == F.col("first_key"))
+        & (F.unix_micros(ts) == F.col("first_us"))
+        & (F.col(tie).cast("long") == F.col("first_tie"))
+        & (F.col(ts) <= F.col("first_wt"))
+        & (F.col(ts) > F.col("first_wt") - span),
+        "left_outer",
+    )
     kept = [c for c in pages.columns if c != flag]
     return joined.select(
         *kept, F.when(F.col("first_us").isNull(), 0).otherwise(1).alias(flag)
