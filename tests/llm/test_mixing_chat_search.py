@@ -185,3 +185,18 @@ def test_few_and_no_vectors(spark):
         few, F.col("id") % 20 == 0).collect())
     assert got == [(0, 1, 1), (0, 2, 20), (20, 1, 1), (20, 2, 0)]
     assert vptree.nearest(few.limit(0), F.col("id") % 20 == 0).collect() == []
+
+
+def test_one_long_vector_hides_no_neighbour(spark):
+    random = np.random.default_rng(8)
+    x = random.normal(size=(3000, 16))
+    x *= random.uniform(0.5, 2, (3000, 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= 20
+    x[11] *= 100
+    rows = [(n, v.tolist()) for n, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want, got = plain_nearest(rows, 20), {}
+    for r in vptree.nearest(frame, F.col("id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert {q: [i for _, i in sorted(f)] for q, f in got.items()} == {
+        q: [i for i, _ in best] for q, best in want.items()}
