@@ -200,3 +200,15 @@ def test_one_long_vector_hides_no_neighbour(spark):
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
     assert {q: [i for _, i in sorted(f)] for q, f in got.items()} == {
         q: [i for i, _ in best] for q, best in want.items()}
+
+
+def test_ties_of_unlike_vectors_go_to_the_smaller_id():
+    random = np.random.default_rng(9)
+    x = random.choice([-1.0, 1.0], size=(2000, 16))
+    ids, own = random.permutation(2000), np.arange(0, 2000, 20)
+    who, found, score = vptree.search_shard(ids, x, ids[own], x[own], 16.0, 20, vptree.FACTOR)
+    for place in own:
+        every = x @ x[place]
+        want = sorted((-s, i) for s, i in zip(every, ids, strict=True) if i != ids[place])[:20]
+        here = who == ids[place]
+        assert list(zip(-score[here], found[here], strict=True)) == want

@@ -29,6 +29,8 @@ from tillwater.llm.common import cut
 SHARD_ROWS = 8_192
 QUERY_ROWS = 16_384
 LEAF_ROWS = 256
+#: Queries whose ties are gathered at once.
+TIED_QUERIES = 512
 #: Exact. Larger factors lose neighbours once one vector is much longer than the rest: its
 #: norm sets what is added to all others, and so how far every query lies from them.
 FACTOR = 1.0
@@ -61,8 +63,10 @@ class Tree:
         return far, from_far[order[half - 1]], from_far[order[half]], self.grow(inner), self.grow(
             outer)
 
-    def search(self, queries: np.ndarray, k: int, factor: float) -> np.ndarray:
-        """Row numbers of the k nearest rows of each query, -1 where there are fewer."""
+    def search(
+        self, queries: np.ndarray, k: int, factor: float,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers of the k nearest rows of each query, -1 where there are fewer; distances."""
         found = np.full((len(queries), k), -1)
         nearest = np.full((len(queries), k), np.inf)
 
@@ -92,7 +96,29 @@ class Tree:
             visit(inner, still_open(far, away - inside))
 
         visit(self.root, np.arange(len(queries)))
-        return found
+        return found, nearest
+
+    def within(self, queries: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of all rows not farther than the query's radius, but for rounding."""
+        who_found, rows_found = [np.zeros(0, int)], [np.zeros(0, int)]
+
+        def visit(node, who: np.ndarray) -> None:
+            if not len(who):
+                return
+            if isinstance(node, np.ndarray):
+                apart = self.distances(node, queries[who]).T
+                x, y = np.nonzero(apart <= radius[who][:, None] + self.slack)
+                who_found.append(who[x])
+                rows_found.append(node[y])
+                return
+            vantage, inside, outside, inner, outer = node
+            away = self.distances(np.array([vantage]), queries[who])[0]
+            reach = radius[who] + 2 * self.slack
+            visit(inner, who[away - inside <= reach])
+            visit(outer, who[outside - away <= reach])
+
+        visit(self.root, np.arange(len(queries)))
+        return np.concatenate(who_found), np.concatenate(rows_found)
 
 
 def search_shard(
@@ -114,10 +140,22 @@ def search_shard(
     tree = Tree(np.column_stack([points, extra]))
     scale = np.sqrt(longest) / np.sqrt((q**2).sum(1, keepdims=True))
     asked = np.column_stack([q * scale, np.zeros(len(q))])
-    # One more than k for the query's own vector, some more for ties in rounding.
-    found = tree.search(asked, min(k + 5, len(points)), factor)
-    who, place = np.nonzero(found >= 0)
+    # One more than k for the query's own vector, some more to see whether others tie.
+    most = min(k + 5, len(points))
+    found, nearest = tree.search(asked, most, factor)
+    reach = np.sort(nearest, axis=1)[:, min(k, most - 1)]
+    tied = (nearest.max(1) <= reach + tree.slack) & (most < len(points))
+    who, place = np.nonzero((found >= 0) & ~tied[:, None])
     hit = found[who, place]
+    if tied.any():
+        # All that lie as near as the last are wanted, as the smaller ids go first.
+        parts = [(who, hit)]
+        some = np.flatnonzero(tied)
+        for at in range(0, len(some), TIED_QUERIES):
+            few = some[at : at + TIED_QUERIES]
+            x, rows = tree.within(asked[few], reach[few])
+            parts.append((few[x], rows))
+        who, hit = (np.concatenate(p) for p in zip(*parts, strict=True))
     score = np.einsum("ij,ij->i", q[who], points[hit])
     copies = count[hit]
     at = np.repeat(first[hit] - np.cumsum(copies) + copies, copies) + np.arange(copies.sum())
