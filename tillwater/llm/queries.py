@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwater.llm import chat, ctw, decontamination, licenses, mixing, quality, repeats, simhash, toxicity, vptree
+from tillwater.llm import (
+    chat, ctw, decontamination, lexical, licenses, mixing, prefixtrie, quality, repeats,
+    sentencepieces, simhash, toxicity, vptree)
 from tillwater.llm.common import documents
 
 
@@ -80,6 +82,34 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chat(turns.unionByName(planted)))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    convs = prefixtrie.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    conv = F.col("conv_id")
+    head = (F.crc32(conv.cast("string").cast("binary")) % 9).cast("int")
+    return prefixtrie.prefix_trie(prefixtrie.rebuilt(convs, conv - conv % 5, head, 8))
+
+
+def op12_sentencepiece(
+    spark: SparkSession, sf_dir: str, model: str | None = None,
+) -> DataFrame:
+    """Every document's piece ids and what they decode to, as digests."""
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepieces.encode(documents(spark, sf_dir), model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical.search(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_context_tree_scoring": op1_context_tree_scoring,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -91,6 +121,9 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_lexical_search": op13_lexical_search,
 }
 SQL: dict[str, str] = {
     "op2_benchmark_decontamination": """
@@ -231,4 +264,92 @@ SQL: dict[str, str] = {
             sum(len(regexp_extract_all(text, '[^ \\x09-\\x0D]+')))::BIGINT AS n_tokens
         FROM turns GROUP BY conv_id
     """,
+    "op11_prefix_trie": """
+        WITH given AS (
+            SELECT conv_id, coalesce(text, '') AS text, turn, sha256(
+                octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '')
+                || coalesce(text, '')) AS digest
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT conv_id, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place,
+                digest, octet_length(encode(text)) AS size
+            FROM given
+        ), heads AS (
+            SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+                list_prepend(4294967295, flatten(list_transform(
+                    string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]
+                    ::BIGINT[]))),
+                lambda s, x: xor(xor(s, x) >> 1,
+                    CASE WHEN xor(s, x) & 1 = 1 THEN 3988292384 ELSE 0 END)),
+                4294967295) % 9 AS head
+            FROM (SELECT DISTINCT conv_id FROM own)
+        ), convs AS (
+            SELECT h.conv_id, coalesce(list(t ORDER BY part, place) FILTER (t IS NOT NULL), []) AS t
+            FROM heads h LEFT JOIN (
+                SELECT heads.conv_id, 0 AS part, place, {'d': digest, 's': size} AS t
+                FROM heads JOIN own ON own.conv_id = base AND place <= head
+                UNION ALL SELECT conv_id, 1, place, {'d': digest, 's': size}
+                FROM heads JOIN own USING (conv_id) WHERE place > head) x USING (conv_id)
+            GROUP BY h.conv_id
+        ), prefixes AS (
+            SELECT conv_id, len(t) AS n, unnest(range(0, len(t) + 1)) AS depth, t FROM convs
+        ), named AS (
+            SELECT conv_id, n, depth, md5(list_transform(t[:depth], lambda x: x.d)::VARCHAR) AS node,
+                md5(list_transform(t[:depth - 1], lambda x: x.d)::VARCHAR) AS above,
+                coalesce(t[depth].s, 0) AS size, t
+            FROM prefixes
+        ), nodes AS (
+            SELECT node, depth, any_value(above) AS above, min(conv_id) AS conv_id,
+                count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                    FILTER (n = depth), '')) AS ends_sha256, any_value(t) AS t
+            FROM named GROUP BY node, depth
+        ), children AS (
+            SELECT above AS node, depth - 1 AS depth, count(*) AS n_children
+            FROM nodes WHERE depth > 0 GROUP BY ALL
+        ), subtrees AS (
+            SELECT a.up AS depth, md5(list_transform(a.t[:a.up], lambda x: x.d)::VARCHAR) AS node,
+                count(*) FILTER (n_children IS NULL) AS n_leaves, sum(saved) AS saved_tokens
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM nodes) a
+                LEFT JOIN children c ON c.node = a.node AND c.depth = a.depth
+            GROUP BY ALL
+        )
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+            coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+            n.ends_sha256
+        FROM nodes n JOIN subtrees s ON s.node = n.node AND s.depth = n.depth
+            LEFT JOIN children c ON c.node = n.node AND c.depth = n.depth
+            LEFT JOIN nodes p ON p.node = n.above AND p.depth = n.depth - 1
+    """,
+    "op13_lexical_search": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+        ), b AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS term
+                FROM benchmark WHERE item_id IS NOT NULL) GROUP BY ALL
+        ), whole AS (
+            SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0
+        ), tf AS (
+            SELECT r, any_value(doc_id) AS doc_id, any_value(n)::BIGINT AS n, term, count(*)::BIGINT AS tf
+            FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+            WHERE term IN (SELECT term FROM b) GROUP BY r, term
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM tf, whole GROUP BY term, n_docs
+        ), scores AS (
+            SELECT item_id, r, any_value(doc_id) AS doc_id, sum(times * weight * ((1000000000 * tf)
+                // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // length))))::BIGINT AS score
+            FROM tf JOIN weights USING (term) JOIN b USING (term), whole GROUP BY item_id, r
+        )
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id
+            ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) <= 20
+    """,
 }
