@@ -105,3 +105,24 @@ def test_repeated_rows_are_copies(spark):
     found = [r["doc_id"] for r in out]
     assert found.count(1) == 1 and 5 not in found and 6 not in found
     assert found.count(None) == 2
+
+
+def test_rows_that_share_an_id_go_by_their_own_texts(spark, kept):
+    """A clean row stays beside a toxic, a copied and a contaminated row of its id."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    by_id = {r["doc_id"]: r for r in kept["documents"]}
+    stays = kept["benchmark_decontamination"][0]
+    toxic = by_id[next(iter(set(by_id) - set(ids(kept["toxicity"]))))]
+    copied = by_id[next(iter(set(ids(kept["toxicity"])) - set(ids(kept["simhash_near_dedup"]))))]
+    leaked = by_id[next(iter(
+        set(ids(kept["suffix_dedup"])) - set(ids(kept["benchmark_decontamination"]))))]
+    clean = by_id[stays["doc_id"]]["text"]
+    for stage, other in (
+        (corpus_pipeline.drop_toxic, toxic), (corpus_pipeline.drop_near_copies, copied),
+        (corpus_pipeline.drop_contaminated, leaked),
+    ):
+        # The clean text alone in the table but for its copy under the other row's id.
+        given = docs.where(f"doc_id <> {stays['doc_id']}").unionByName(spark.createDataFrame(
+            [(other["doc_id"], clean, "en", "src1", 1)], docs.schema))
+        out = stage(spark, given, SF).where(f"doc_id = {other['doc_id']}").collect()
+        assert [r["text"] for r in out] == [clean]

@@ -25,7 +25,8 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weakly supervised toxicity score of every document."""
     return toxicity.classify(
-        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    ).select("doc_id", "held_out", "score", "predicted")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

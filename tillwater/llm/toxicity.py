@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwater.llm.common import cut, mapped, pieces, remainder, texts
+from tillwater.llm.common import cut, mapped, pieces, remainder, text_key, texts
 from tillwater.llm.labelled import bounded, one_label_each
 
 #: Labelled rows from which terms are mined, at most; the label model and the classifier
@@ -149,7 +149,7 @@ def measure(
 
 
 def measured(docs: DataFrame, terms: list[bytes]) -> DataFrame:
-    """doc_id, votes (packed) and the features x of every row."""
+    """doc_id, votes (packed), the features x and text_key of every row."""
     mined = by_size(terms)
     insults = frozenset(w.encode() for w in INSULTS)
 
@@ -161,9 +161,12 @@ def measured(docs: DataFrame, terms: list[bytes]) -> DataFrame:
                 pa.array(rows[:, 1:].astype(np.float32).ravel()), FEATURES)
             yield pa.RecordBatch.from_arrays(
                 [piece.column(0), pa.array(rows[:, 0].astype(np.int32)),
-                 lists.cast(pa.list_(pa.float32()))], names=["doc_id", "votes", "x"])
+                 lists.cast(pa.list_(pa.float32())), piece.column(2)],
+                names=["doc_id", "votes", "x", "text_key"])
 
-    return mapped(texts(docs), run, "doc_id long, votes int, x array<float>")
+    return mapped(
+        texts(docs).withColumn("text_key", text_key()), run,
+        "doc_id long, votes int, x array<float>, text_key long")
 
 
 class LabelModel:
@@ -261,7 +264,10 @@ def classify(
     docs: DataFrame, labels: DataFrame, name: str = "toxic", folds: int = 4, held_out: int = 2,
     threshold: float = 0.3, most: int = MOST_ROWS,
 ) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row; held-out labels are never learned."""
+    """doc_id, held_out, score, predicted, text_key of every row; held-out labels are never learned.
+
+    `text_key` tells rows that share an id apart.
+    """
     known = cut(
         one_label_each(labels, name).where(remainder("doc_id", folds) != held_out),
         "toxicity-labels")
@@ -302,10 +308,12 @@ def classify(
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
             z = x @ weights[:-1] + weights[-1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50))))],
-                names=["doc_id", "score"])
+                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50)))),
+                 batch.column(2)], names=["doc_id", "score", "text_key"])
 
-    scores = mapped(measures.select("doc_id", "x"), scored, "doc_id long, score double")
+    scores = mapped(
+        measures.select("doc_id", "x", "text_key"), scored,
+        "doc_id long, score double, text_key long")
     return scores.select(
         "doc_id", (remainder("doc_id", folds) == held_out).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+        (F.col("score") >= threshold).cast("int").alias("predicted"), "text_key")
