@@ -1,9 +1,12 @@
 """A training corpus from raw documents, stage by stage.
 
-Every stage reads all that its predecessor kept. Documents go for toxicity, as copies of
-another document, or for overlap with a benchmark; repeated passages are cut from the
+Every stage reads all that its predecessor kept. Documents go for toxicity, as near copies
+of another document, or for overlap with a benchmark; repeated passages are cut from the
 texts that stay; the last stage says how often each document is taken for the mixture.
-Documents without an id cannot be named by a decision: no stage drops them.
+
+A decision names a row by its doc_id and a 64-bit hash of its text, so a clean row that
+shares an id with a rejected one stays. Documents without an id cannot be named by a
+decision: no stage drops them.
 """
 
 from __future__ import annotations
@@ -11,43 +14,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwater.llm import decontamination, mixing, nearcopies, repeats, toxicity
-from tillwater.llm.common import cut, documents
+from tillwater.llm import decontamination, mixing, repeats, simhash, toxicity
+from tillwater.llm.common import cut, documents, text_key
 
 
-def without(docs: DataFrame, rejected: DataFrame, purpose: str) -> DataFrame:
-    """`docs` but the rows whose doc_id is in `rejected` (one column, gone)."""
-    gone = cut(rejected.where("gone IS NOT NULL").distinct(), purpose)
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """`docs` but the rows with an id whose (doc_id, text) is in `gone` (gone, gone_key)."""
+    return docs.join(
+        gone, (docs["doc_id"].cast("long") == gone["gone"]) & (text_key() == gone["gone_key"]),
+        "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised classifier rejects go."""
     scores = toxicity.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return without(
-        docs, scores.where("predicted = 1").select(F.col("doc_id").alias("gone")),
-        "pipeline-toxic")
+    return without(docs, cut(
+        scores.where("predicted = 1 AND doc_id IS NOT NULL").select(
+            F.col("doc_id").alias("gone"), F.col("text_key").alias("gone_key")).distinct(),
+        "pipeline-toxic"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest id stays, once.
+    """Of each group of linked fingerprints the document with the smallest id stays, once.
 
-    Near copies have a Jaccard similarity of 0.8 or more over five-word shingles.
-    Rows that share an id are told apart by their texts.
+    Texts are the operator's documents here, by their hash, so that rows that share an
+    id do not link their texts.
     """
-    near = cut(nearcopies.near_copies(docs), "pipeline-near")
-    stays = near.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("stays"))
-    gone = cut(
-        near.join(stays, "component").where("doc_id <> stays.doc_id OR key <> stays.key").select(
-            F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct(),
-        "pipeline-copies")
-    key = nearcopies.text_key()
-    kept = docs.join(
-        gone, (docs["doc_id"].cast("long") == gone["gone"]) & (key == gone["gone_key"]),
-        "left_anti")
-    if near.groupBy("doc_id", "key").count().where("count > 1").limit(1).count():
+    named = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("id"), text_key().alias("doc_id"), "text")
+    groups = cut(
+        simhash.near_duplicates(named).select(
+            F.col("doc_id").alias("key"), "component_id").distinct(),
+        "pipeline-groups")
+    rows = cut(
+        named.select("id", F.col("doc_id").alias("key")).join(groups, "key"), "pipeline-near")
+    stays = rows.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("stays"))
+    kept = without(docs, cut(
+        rows.join(stays, "component_id").where("id <> stays.id OR key <> stays.key").select(
+            F.col("id").alias("gone"), F.col("key").alias("gone_key")).distinct(),
+        "pipeline-copies"))
+    if rows.groupBy("id", "key").count().where("count > 1").limit(1).count():
         # Of rows with one id and text the first by all their columns stays.
-        order = Window.partitionBy("doc_id", key).orderBy(F.to_json(F.struct("*")))
+        order = Window.partitionBy("doc_id", text_key()).orderBy(F.to_json(F.struct("*")))
         kept = kept.where("doc_id IS NOT NULL").withColumn(
             "_pipeline_turn", F.row_number().over(order)).where("_pipeline_turn = 1").drop(
             "_pipeline_turn").unionByName(kept.where("doc_id IS NULL"))
@@ -60,9 +68,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap with a benchmark item go."""
-    return decontamination.decontaminated(
-        docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that overlap with a benchmark item go; the overlap is the text's alone."""
+    found = decontamination.contaminated(
+        docs.where("doc_id IS NOT NULL").select(text_key().alias("doc_id"), "text"),
+        spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = cut(found.select(F.col("doc_id").alias("gone_key")).distinct(), "pipeline-leaks")
+    return docs.join(
+        gone, docs["doc_id"].isNotNull() & (text_key() == gone["gone_key"]), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
