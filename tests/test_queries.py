@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF
+from tillwater.plans.feeds import FEEDS
 from tillwater.plans.queries import BATCH
 from tillwater.plans.replay import STREAMING
 
@@ -12,7 +13,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-CHECKED = [*BATCH, *STREAMING]
+CHECKED = [*BATCH, *STREAMING, *FEEDS]
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +42,7 @@ def test_same_answer_as_sql(spark, sql, name):
 
 
 def test_every_query_has_sql():
-    assert {*BATCH, *STREAMING} <= set(contract.oracle_sql()) <= set(contract.queries())
+    assert {*BATCH, *STREAMING, *FEEDS} <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

@@ -10,6 +10,7 @@ from tillwater import schemas
 from tillwater.functions import parse_time
 from tillwater.operators import dashboard as dash
 from tillwater.operators.changes import clean_changes, route
+from tillwater.operators.firsts import latest_per_key
 from tillwater.operators.joins import Dim
 from tillwater.operators.parsing import parse_json
 from tillwater.plans import layers
@@ -19,6 +20,7 @@ from tillwater.sinks import (
     routed_file_sink, routing_sink, serving_sink, visible, write_dims,
 )
 from tillwater.sinks.streams import routed_records
+from tillwater.sources import changelog
 from tillwater.sources import (
     file_stream, json_stream, read_dim, read_routes, read_serving, with_event_time,
 )
@@ -75,10 +77,9 @@ def test_changes_reach_facts_and_dimensions(spark, folder):
     facts = spark.read.parquet(f"{folder}/facts")
     assert rows(facts, "sink_table", "value") == [("dwd_order", '{"id":"8"}')]
 
-    # A base stands for the folders it names, and takes nothing from the others.
+    # A base stands for the folders it covers, and takes nothing from the others.
     before = rows(users, "ID", "NAME")
-    covered = compact_dim(spark, f"{folder}/dims/dim_user")
-    assert len(covered) == 2
+    compact_dim(spark, f"{folder}/dims/dim_user")
     assert rows(read_dim(spark, f"{folder}/dims/dim_user"), "ID", "NAME") == before
 
     # A query with a new checkpoint counts its batches from 0 again.
@@ -143,6 +144,103 @@ def test_a_lookup_cuts_the_log_before_it_groups(spark, folder):
     assert text.index("Aggregate [ID") < text.index("LeftSemi")
 
 
+def batch_of(spark, folder, number, *texts, config=None):
+    """Changes through write_dims, as batch `number` of one run."""
+    raw = spark.createDataFrame(
+        [(t, 100 * number + i) for i, t in enumerate(texts)], "value string, tie long")
+    config = config or user_routes(spark)
+    routed = route(clean_changes(parse_json(raw, schemas.CHANGE)[0], "shop"), config)
+    write_dims(routed, config, folder, f"_run=a/_batch={number}")
+
+
+def test_a_lookup_reads_no_more_files_as_batches_come(spark, folder):
+    path = f"{folder}/dim_user"
+    wanted = spark.createDataFrame([(3,)], "ID long")
+    most = []
+    for number in range(12):
+        batch_of(spark, folder, number, *[
+            change("user_info", "insert", number, id=i, name=f"{number}-{i}", nation="n")
+            for i in range(number, number + 4)])
+        if number % 4 == 3:
+            compact_dim(spark, path, grace="0 seconds")
+        most.append(len(read_dim(spark, path, wanted=wanted).inputFiles()))
+    assert max(most[4:]) <= 4 and most[11] == 1
+    assert users_of(spark, folder, wanted=wanted) == [("3", "3-3", "n")]
+    assert len(users_of(spark, folder)) == 15
+
+
+def test_a_base_is_read_by_bucket(spark, folder):
+    path = f"{folder}/dim_user"
+    batch_of(spark, folder, 0, *[
+        change("user_info", "insert", 1, id=i, name=str(i), nation="n") for i in range(60)])
+    changelog.publish_base(
+        spark, path, ["ID"], lambda log: latest_per_key(log, ["ID", "_set"], ["_ts", "_tie"]),
+        rows_per_bucket=5)
+    everything = read_dim(spark, path)
+    assert len(everything.inputFiles()) > 8 and everything.count() == 60
+    wanted = spark.createDataFrame([(7,), (7,), (900,)], "ID long")
+    found = read_dim(spark, path, wanted=wanted)
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_bucket" in scan
+    assert rows(found, "ID", "NAME") == [("7", "7")]
+
+
+def test_a_batch_committed_during_compaction_is_kept(spark, folder):
+    path = f"{folder}/dim_user"
+    batch_of(spark, folder, 0, change("user_info", "insert", 1, id=1, name="old", nation="n"))
+
+    def newest(log):
+        out = latest_per_key(log, ["ID", "_set"], ["_ts", "_tie"])
+        batch_of(spark, folder, 1, change("user_info", "update", 2, id=1, name="new"),
+                 change("user_info", "insert", 2, id=2, name="two", nation="m"))
+        return out
+
+    changelog.publish_base(spark, path, ["ID"], newest)
+    assert users_of(spark, folder) == [("1", "new", "n"), ("2", "two", "m")]
+    gone = compact_dim(spark, path, grace="0 seconds")
+    assert [g.split("/")[-1] for g in gone] == ["_batch=0"]
+    # The first base has a successor now and goes with the second batch.
+    gone = changelog.retire(spark, path, 0)
+    assert len(gone) == 2 and changelog.retire(spark, path, 0) == []
+    assert users_of(spark, folder) == [("1", "new", "n"), ("2", "two", "m")]
+
+
+def test_a_crashed_compaction_changes_nothing(spark, folder):
+    path = f"{folder}/dim_user"
+    batch_of(spark, folder, 0, change("user_info", "insert", 1, id=1, name="a", nation="n"))
+    compact_dim(spark, path)
+    batch_of(spark, folder, 1, change("user_info", "insert", 2, id=1, name="b", nation="n"))
+    # A base that no version names.
+    log = changelog.read_log(spark, path)
+    log.write.parquet(f"{path}/_run=base-lost/_batch=0")
+    assert users_of(spark, folder) == [("1", "b", "n")]
+    assert changelog.retire(spark, path, 10**9) == []
+
+
+def test_a_column_added_later_is_read(spark, folder):
+    def config(columns):
+        return spark.createDataFrame(
+            [("user_info", o, "hbase", "dim_user", columns, None, None)
+             for o in ("insert", "update")], schemas.ROUTES)
+
+    path = f"{folder}/dim_user"
+    batch_of(spark, folder, 0, change("user_info", "insert", 1, id=1, name="a", phone="p0"),
+             change("user_info", "insert", 1, id=2, name="b"), config=config("id,name"))
+    batch_of(spark, folder, 1, change("user_info", "update", 2, id=1, phone="p1"),
+             config=config("id,name,phone"))
+    want = [("1", "a", "p1"), ("2", "b", None)]
+    assert rows(read_dim(spark, path), "ID", "NAME", "PHONE") == want
+    compact_dim(spark, path)
+    batch_of(spark, folder, 2, change("user_info", "update", 3, id=2, email="e"),
+             config=config("id,email"))
+    table = read_dim(spark, path)
+    assert rows(table, "ID", "NAME", "PHONE", "EMAIL") == [
+        ("1", "a", "p1", None), ("2", "b", None, "e")]
+    compact_dim(spark, path)
+    assert rows(read_dim(spark, path), "ID", "NAME", "PHONE", "EMAIL") == rows(
+        table, "ID", "NAME", "PHONE", "EMAIL")
+
+
 def test_a_retried_batch_is_written_once(spark, folder):
     raw = spark.createDataFrame([(change("user_info", "insert", 1, id=1, name="n"),)], "value string")
     config = spark.createDataFrame(

@@ -11,6 +11,7 @@ from tillwater.functions import (
 )
 from tillwater.operators import measures as m
 from tillwater.schemas import PRODUCT_AMOUNTS, PRODUCT_COUNTS, PRODUCT_ORDER_COUNTS
+from tillwater.streaming.late import sums_and_late
 
 WINDOW = "5 seconds"
 
@@ -44,13 +45,35 @@ def visitor_stats(
     delay: str = "20 seconds", tz: str | None = None,
 ) -> DataFrame:
     """Views, visitors, sessions, jumps and time per version, channel, area, newness."""
-    rows = _trail_each([m.page_views(pages), m.unique_visits(uv), m.jumps(uj)], delay)
-    sums = rows.groupBy(F.window("et", window), *m.VISITOR_KEYS).agg(
+    rows = [m.page_views(pages), m.unique_visits(uv), m.jumps(uj)]
+    return visitor_sums(rows, window, delay, tz)
+
+
+def visitor_sums(
+    rows: list[DataFrame], window: str = WINDOW, delay: str = "20 seconds", tz: str | None = None,
+) -> DataFrame:
+    """The same from measure rows, an input each with a watermark of its own."""
+    sums = _trail_each(rows, delay).groupBy(F.window("et", window), *m.VISITOR_KEYS).agg(
         *[F.sum(c).alias(c) for c in m.VISITOR_MEASURES]
     )
     return sums.select(*_bounds(tz), *m.VISITOR_KEYS, *m.VISITOR_MEASURES)
 
 
+def visitor_sums_and_late(
+    rows: list[DataFrame], window: str = WINDOW, delay: str = "20 seconds", tz: str | None = None,
+) -> DataFrame:
+    """Streaming `visitor_sums` that also lets late rows out; see `sums_and_late`.
+
+    Where `late_row` is null the row is one of the statistics; elsewhere it is a late
+    row's share of the window that it missed, to be added to the serving table.
+    """
+    sums = sums_and_late(
+        _trail_each(rows, delay), "et", window, m.VISITOR_KEYS,
+        {c: F.sum(c) for c in m.VISITOR_MEASURES})
+    return sums.select(
+        *_bounds(tz), *m.VISITOR_KEYS, *m.VISITOR_MEASURES, "late_row", "late_count")
+
+
 def product_stats(
     rows: list[DataFrame], window: str = WINDOW, delay: str = "10 seconds",
     tz: str | None = None,

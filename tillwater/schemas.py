@@ -50,6 +50,12 @@ ROUTES = shape(
     sink_table="string", sink_columns="string", sink_pk="string", sink_extend="string",
 )
 
+# A feed of the config: its rows, what happened to them, and when.
+ROUTE_FEED = T.StructType([
+    *ROUTES.fields, T.StructField("op", T.StringType()), T.StructField("ts", T.LongType()),
+    T.StructField("tie", T.LongType()),
+])
+
 ORDER_INFO = shape(
     id="bigint", province_id="bigint", order_status="string", user_id="bigint",
     total_amount="amount", activity_reduce_amount="amount",

@@ -21,9 +21,11 @@ from tillwater.sinks.tables import (
     visible,
     write_dims,
 )
+from tillwater.sinks.updates import read_updated, updating_sink
 
 __all__ = [
-    "compact_dim", "console_sink", "enriching_sink", "fact_folders", "fact_topics", "file_sink", "hidden", "jdbc_sink", "kafka_sink",
-    "landing_sink", "memory_sink", "routed_file_sink", "routed_kafka_sink",
-    "routing_sink", "serving_sink", "visible", "write_dims",
+    "compact_dim", "console_sink", "enriching_sink", "fact_folders", "fact_topics",
+    "file_sink", "hidden", "jdbc_sink", "kafka_sink", "landing_sink", "memory_sink",
+    "read_updated", "routed_file_sink", "routed_kafka_sink", "routing_sink", "serving_sink",
+    "updating_sink", "visible", "write_dims",
 ]

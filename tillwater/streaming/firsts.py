@@ -4,6 +4,9 @@ Both operators reduce each visitor's event-time window to its earliest record
 with an ordinary aggregation. Only these, at most one per visitor and window,
 reach the keyed state, and they come in window order: a window is emitted once
 the watermark passes its end, so later batches hold later windows only.
+
+The state can start from what earlier runs knew: `seen` has a row for each
+visitor (and day) that was let through before.
 """
 
 from __future__ import annotations
@@ -14,13 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tillwater.functions import day_of, micros
+from tillwater.functions import day_of
+from tillwater.streaming.answers import JSON, answered
 
 # No leading underscores: the state runner would rename such columns.
 _OUT = ["first_key", "first_us", "first_tie", "first_wt", "first_row"]
 _OUT_SCHEMA = "first_key string, first_us long, first_tie long, first_wt timestamp, first_row string"
-# Keeps microseconds when a record passes the state as text.
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_EVER = "ever"
 # A day is over by then, in any zone and with any clock change.
 _DAY_STATE_MS = 2 * 86_400_000
 
@@ -40,6 +43,14 @@ class FirstInScope(StatefulProcessor):
         self._handle = handle
         self._open = handle.getValueState("open", "scope string, until long")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        scope = initialState["scope"].max()
+        until = -1
+        if self._keep_ms is not None:
+            until = int(initialState["until"].max())
+            self._handle.registerTimer(max(until, timerValues.getCurrentWatermarkInMs() + 1))
+        self._open.update((scope, until))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # The earliest window of each scope, kept up frame by frame: a visitor
         # with a long backlog never stands in memory as a whole.
@@ -73,8 +84,13 @@ class FirstInScope(StatefulProcessor):
         pass
 
 
-def _firsts(pages: DataFrame, key, ts, tie, window, scope, row, keep_ms=None) -> DataFrame:
-    """(key, time, tie, row as text) of each visitor's first record of each scope."""
+def _firsts(
+    pages: DataFrame, key, ts, tie, window, scope, row, keep_ms=None, seen=None,
+) -> DataFrame:
+    """(key, time, tie, row as text) of each visitor's first record of each scope.
+
+    `seen` (first_key, scope, until) is what the state knows before the first record.
+    """
     order = F.struct(F.unix_micros(ts).alias("first_us"), F.col(tie).cast("long").alias("first_tie"))
     per_window = pages.groupBy(
         F.window(ts, window).alias("_w"),
@@ -84,56 +100,65 @@ def _firsts(pages: DataFrame, key, ts, tie, window, scope, row, keep_ms=None) ->
     windows = per_window.select(
         "first_key", "scope", "_first.first_us", "_first.first_tie",
         F.window_time("_w").alias("first_wt"),
-        F.to_json("_record", _JSON).alias("first_row"),
+        F.to_json("_record", JSON).alias("first_row"),
     )
     return windows.groupBy("first_key").transformWithStateInPandas(
-        FirstInScope(keep_ms), _OUT_SCHEMA, "Append", "EventTime", eventTimeColumnName="first_wt"
+        FirstInScope(keep_ms), _OUT_SCHEMA, "Append", "EventTime",
+        initialState=None if seen is None else seen.groupBy("first_key"),
+        eventTimeColumnName="first_wt",
     )
 
 
 def daily_unique_stream(
     pages: DataFrame, key: str, ts: str, tie: str, window: str = "5 seconds",
-    tz: str | None = None,
+    tz: str | None = None, seen: DataFrame | None = None,
 ) -> DataFrame:
     """Each visitor's earliest record of each day; `ts` carries the watermark.
 
-    The record itself passes the keyed state, as text. Joining it back by time and
-    tie would be narrower, but after a quiet time of days the join's watermark is
-    past a record before its window is answered, and the record would be lost.
+    The record itself passes the keyed state, as text. `seen` holds (key, day) of
+    earlier runs: a visitor who was there on that day isn't let through on it again.
     """
     fields = [c for c in pages.columns if c != ts]
     row = F.struct(*fields, F.unix_micros(ts).alias("_event_us"))
     schema = pages.select(row.alias("r")).schema["r"].dataType
     day = day_of(ts, tz).cast("string")
-    firsts = _firsts(pages, key, ts, tie, window, day, row, _DAY_STATE_MS)
-    back = firsts.select(F.from_json("first_row", schema, _JSON).alias("r")).select("r.*")
+    if seen is not None:
+        seen = seen.select(
+            F.col(key).cast("string").alias("first_key"), F.col("day").cast("string").alias("scope"),
+            (F.unix_millis(F.col("day").cast("timestamp")) + _DAY_STATE_MS).alias("until"))
+    firsts = _firsts(pages, key, ts, tie, window, day, row, _DAY_STATE_MS, seen)
+    back = firsts.select(F.from_json("first_row", schema, JSON).alias("r")).select("r.*")
     return back.withColumn(ts, F.timestamp_micros("_event_us")).select(*pages.columns)
 
 
 def flag_new_visitors_stream(
     pages: DataFrame, key: str, ts: str, tie: str, flag: str = "is_new",
-    window: str = "5 seconds",
+    window: str = "5 seconds", seen: DataFrame | None = None, spread: int = 4,
 ) -> DataFrame:
     """Every record with `flag` 1 on its visitor's earliest one and 0 elsewhere.
 
-    The few first records come from the keyed state and are joined back on
-    (key, ts, tie), so records themselves never pass through Python or gather
-    by visitor. `ts` carries the watermark.
+    The few first records come from the keyed state of `_firsts`. The records wait
+    for theirs in a state of their own, `spread` parts for each visitor, until
+    their window is over; then any that had no answer isn't a first one. So
+    none is lost after a quiet time, and late ones leave with 0. `seen` holds the
+    visitors (in column `key`) of earlier runs, none of whose records are new.
+    `ts` carries the watermark; the result has none.
     """
+    if seen is not None:
+        seen = seen.select(
+            F.col(key).cast("string").alias("first_key"), F.lit(_EVER).alias("scope"),
+            F.lit(-1).cast("long").alias("until"))
     firsts = _firsts(
-        pages, key, ts, tie, window, F.lit("ever"), F.struct(F.lit(1).alias("one"))
-    ).drop("first_row")
-    span = F.expr(f"INTERVAL '{micros(window)}' MICROSECOND")
-    joined = pages.join(
-        firsts,
-        (F.col(key).cast("string") == F.col("first_key"))
-        & (F.unix_micros(ts) == F.col("first_us"))
-        & (F.col(tie).cast("long") == F.col("first_tie"))
-        & (F.col(ts) <= F.col("first_wt"))
-        & (F.col(ts) > F.col("first_wt") - span),
-        "left_outer",
-    )
+        pages, key, ts, tie, window, F.lit(_EVER), F.struct(F.lit(1).alias("one")), seen=seen,
+    ).select("first_key", "first_us", "first_tie")
+    rows = pages.drop(flag).withColumn("_event_us", F.unix_micros(ts)).withColumn(
+        ts, F.timestamp_micros("_event_us"))
+    marked = answered(
+        rows, F.col(key), F.col(ts), F.window(ts, window)["end"],
+        firsts, F.col("first_key"), (F.timestamp_micros("first_us"), F.col("first_tie")),
+        lifetime="1 day", spread=spread)
+    is_first = (F.col("answer.first_us") == F.col("_event_us")) & (
+        F.col("answer.first_tie") == F.col(tie).cast("long"))
     kept = [c for c in pages.columns if c != flag]
-    return joined.select(
-        *kept, F.when(F.col("first_us").isNull(), 0).otherwise(1).alias(flag)
-    )
+    return marked.withColumn(ts, F.timestamp_micros("_event_us")).select(
+        *kept, F.when(is_first, 1).otherwise(0).alias(flag))
