@@ -330,6 +330,16 @@ found AS (SELECT et, {_WORDS.format('item')} AS keyword FROM pages
 SELECT {_hour_bounds('et')}, keyword, 'search' AS source, count(*) AS ct FROM found GROUP BY ALL""",
     "product_keyword_sum": f"{_INTERACTIONS}, {PRODUCT_WORD_CTES} SELECT * FROM product_words",
     "lateral_keywords": f"{_INTERACTIONS}, {PRODUCT_WORD_CTES} SELECT * FROM product_words",
+    "lateral_table_functions": f"""{_INTERACTIONS}, {PRODUCT_WORD_CTES}
+SELECT form, product_words.* FROM product_words, (VALUES ('comma'), ('join')) f(form)""",
+    "dynamic_records": f"""{_PAGES}
+SELECT 'record' AS output, event_id AS tie, mid, ts, event_type AS tag, 'extra,kind' AS unknown,
+       '{{"k":' || k || ',"tags":["' || event_type || '","x"]}}' AS extra FROM logs
+UNION ALL SELECT 'reject', doc_id, NULL, length(text), NULL, NULL, NULL FROM documents""",
+    "stamped_now": "SELECT event_id, true AS is_now FROM events",
+    "literal_weights": """SELECT event_type AS kind,
+       sum(CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 4 ELSE 8 END)::BIGINT AS score
+FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY ALL""",
     "log_split": f"""{_PAGES}
 SELECT 'start' AS output, mid, ts, 'icon' AS name, CAST(NULL AS VARCHAR) AS item FROM logs WHERE event_type = 'error'
 UNION ALL SELECT 'page', mid, ts, page_id, item FROM pages

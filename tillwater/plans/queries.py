@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwater import schemas
 from tillwater import functions as fn
+from tillwater.functions import now_millis
 from tillwater.functions.sql import register
 from tillwater.operators import changes as ch, dashboard as dash, measures as m, stats
 from tillwater.operators.firsts import daily_unique, flag_new_visitors, latest_per_key
 from tillwater.operators.joins import MISSING, enrich
 from tillwater.operators.jumps import TIMEOUT_ONLY, user_jump
 from tillwater.operators.logs import flatten_displays, log_outputs, split_log
-from tillwater.operators.parsing import parse_json, to_json_text
+from tillwater.operators.parsing import others, parse_dynamic, parse_json, to_json_text
 from tillwater.operators.wide import order_wide, payment_wide
 from tillwater.plans.shop import ASOF, DATABASE, JUMP_WITHIN, LINE_LOWER, LINE_UPPER, Shop
 from tillwater.session import staged, tune
+from tillwater.sources.streams import literal_records
 
 HOUR, DAY = "1 hour", "1 day"
 GMV_DATE = dt.date(1998, 6, 1)
@@ -436,6 +439,68 @@ def lateral_keywords(spark, sf_dir):
     )
 
 
+def lateral_table_functions(spark, sf_dir):
+    """The same through table functions, in comma form and in join form."""
+    s = shop(spark, sf_dir)
+    register(s.spark)
+    named = enrich(interactions(s), s.sku_dim()).select(
+        "stt", "edt", "sku_name", "click_ct", "cart_ct", "order_ct")
+    forms = {
+        "comma": "{named}, LATERAL words_of(sku_name) AS w(keyword), "
+                 "LATERAL product_sources(click_ct, cart_ct, order_ct) AS p(source, ct)",
+        "join": "{named} JOIN LATERAL words_of(sku_name) AS w(keyword) ON true "
+                "JOIN LATERAL product_sources(click_ct, cart_ct, order_ct) AS p(source, ct) ON true",
+    }
+    return m.union_all([
+        s.spark.sql(
+            f"SELECT '{name}' AS form, stt, edt, keyword, source, sum(ct) AS ct FROM {tables} "
+            "GROUP BY stt, edt, keyword, source", named=named)
+        for name, tables in forms.items()])
+
+
+def dynamic_records(spark, sf_dir):
+    """Log records with fields outside the schema, and documents among them."""
+    s = shop(spark, sf_dir)
+    logs = s.event_records().selectExpr(
+        "tie", "to_json(struct(common, page, ts, event_type AS kind, "
+        "named_struct('k', k, 'tags', array(event_type, 'x')) AS extra)) AS value")
+    documents = s.batch("documents").select(
+        F.col("doc_id").alias("tie"), F.col("text").alias("value"))
+    good, rejects = parse_dynamic(logs.unionByName(documents), schemas.LOG)
+    rest = others("record", schemas.LOG)
+    none = F.lit(None).cast("string")
+    return good.select(
+        F.lit("record").alias("output"), "tie", F.col("common.mid").alias("mid"), "ts",
+        F.variant_get("record", "$.extra.tags[0]", "string").alias("tag"),
+        F.array_join(F.array_sort(F.map_keys(rest)), ",").alias("unknown"),
+        F.to_json(rest["extra"]).alias("extra"),
+    ).unionByName(rejects.select(
+        F.lit("reject").alias("output"), "tie", none.alias("mid"),
+        F.length("value").cast("long").alias("ts"), none.alias("tag"), none.alias("unknown"),
+        none.alias("extra")))
+
+
+def stamped_now(spark, sf_dir):
+    """Events stamped with the time of processing, held against the clock around it."""
+    events = shop(spark, sf_dir).batch("events")
+    before = int(time.time() * 1000) - 1
+    stamp = events.select("event_id", now_millis().alias("stamp"))
+    # The query may run up to a day after it is made.
+    return stamp.select("event_id", F.col("stamp").between(
+        before, before + 86_400_000).alias("is_now"))
+
+
+def literal_weights(spark, sf_dir):
+    """Records given in place, parsed like a topic and joined with the events' kinds."""
+    s = shop(spark, sf_dir)
+    given = literal_records(s.spark, [
+        {"kind": "view", "weight": 2}, {"kind": "click", "weight": 4},
+        {"kind": "purchase", "weight": 8}, {"kind": "other"}])
+    weights, _ = parse_json(given, schemas.shape(kind="string", weight="bigint"))
+    return s.batch("events").join(weights, F.col("event_type") == F.col("kind")).groupBy(
+        "kind").agg(F.sum("weight").alias("score"))
+
+
 BATCH = {
     "gmv_day": gmv_day,
     "gmv_on_date": gmv_on_date,
@@ -475,4 +540,8 @@ BATCH = {
     "document_words": document_words,
     "source_unpivot": source_unpivot,
     "lateral_keywords": lateral_keywords,
+    "lateral_table_functions": lateral_table_functions,
+    "dynamic_records": dynamic_records,
+    "stamped_now": stamped_now,
+    "literal_weights": literal_weights,
 }
