@@ -64,3 +64,5 @@ SELECT 'half-way', * FROM ({_WORDS_BY_WINDOW.replace(
     'FROM documents', f'FROM documents WHERE doc_id < {_HALF}', 1)})""",
     "late_dim_column_stream": SQL["upserted_dims_stream"],
 }
+# Going on from another query's state changes no answer.
+FEEDS_SQL["redealt_state_stream"] = FEEDS_SQL["awaited_dims_stream"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tillwater.functions import micros
@@ -34,6 +34,19 @@ class Waiting(StatefulProcessor):
         self._known = handle.getValueState("known", "answer string, us long, tie long, until long")
         self._held = handle.getListState("held", "fact string, ms long, until long")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        held = initialState[initialState["is_fact"]]
+        if len(held):
+            self._held.appendList(_listed(held))
+            for until in held["until"].unique():
+                self._handle.registerTimer(int(until))
+        known = initialState[~initialState["is_fact"]]
+        if len(known):
+            row = known.iloc[0]
+            self._known.update((row["text"], int(row["us"]), int(row["tie"]), int(row["until"])))
+            if row["until"] < _FOREVER:
+                self._handle.registerTimer(int(row["until"]))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
         facts, newest = [], None
@@ -106,7 +119,7 @@ def _left(facts, answer: str | None, outcome: str) -> pd.DataFrame:
 def answered(
     facts: DataFrame, fact_key: Column, at: Column, until: Column,
     answers: DataFrame, answer_key: Column, place: tuple[Column, Column],
-    lifetime: str | None = None, spread: int = 1,
+    lifetime: str | None = None, spread: int = 1, resume: DataFrame | None = None,
 ) -> DataFrame:
     """Each row of `facts`, the newest answer of its key as `answer`, and its `outcome`.
 
@@ -116,6 +129,10 @@ def answered(
     with a copy of the answer, so that a key with very many facts isn't one task's.
     A batch's facts of one key and state are held in memory once.
 
+    `resume` is the state of a stopped query (`waiting_state`), from which this one goes
+    on, with any `spread` and number of partitions; its inputs begin where the other's
+    ended (`runner.stopped_at`).
+
     At least one side carries a watermark. It leaves with neither: give the result a
     watermark of its own where event time matters further on.
     """
@@ -138,13 +155,41 @@ def answered(
         F.unix_micros(place[0]).alias("us"), place[1].cast("long").alias("tie"),
         F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"))
     # No column here is an event time, so Spark holds nothing to be late.
+    if resume is not None:
+        part = F.when(F.col("is_fact"), F.array(F.pmod(F.xxhash64("text"), F.lit(spread)).cast(
+            "int"))).otherwise(F.sequence(F.lit(0), F.lit(spread - 1)))
+        resume = resume.withColumn("part", F.explode(part)).groupBy("key", "part")
     left = asked.unionByName(given).groupBy("key", "part").transformWithStateInPandas(
-        Waiting(), _OUT_SCHEMA, "Append", "EventTime")
+        Waiting(), _OUT_SCHEMA, "Append", "EventTime", initialState=resume)
     return left.select(
         F.from_json("fact", fact_type, JSON).alias("f"),
         F.from_json("answer", answer_type, JSON).alias("answer"), "outcome",
     ).select("f.*", "answer", "outcome")
 
 
+def waiting_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """What a stopped query of `answered` knows and holds, a row for each answer and fact.
+
+    `operator` is the operator's number among the stateful ones of that query.
+    """
+    def variable(name: str) -> DataFrame:
+        return spark.read.format("statestore").option("path", checkpoint).option(
+            "operatorId", operator).option("stateVarName", name).option(
+            "flattenCollectionTypes", "true").load()
+
+    none = F.lit(0).cast("long")
+    held = variable("held").select(
+        "key.key", F.lit(True).alias("is_fact"), F.col("list_element.fact").alias("text"),
+        "list_element.ms", "list_element.until", none.alias("us"), none.alias("tie"))
+    # Each part of a key has the same answer, or an older one that no fact was held for.
+    newest = Window.partitionBy("key.key").orderBy(
+        F.col("value.us").desc(), F.col("value.tie").desc())
+    known = variable("known").withColumn("turn", F.row_number().over(newest)).filter(
+        "turn = 1").select(
+        "key.key", F.lit(False).alias("is_fact"), F.col("value.answer").alias("text"),
+        none.alias("ms"), "value.until", "value.us", "value.tie")
+    return held.unionByName(known)
+
+
 def _nullable(kind: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in kind.fields])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tillwater.session import ROCKSDB_PROVIDER, scratch_dir
@@ -78,6 +79,19 @@ def drain_to_folder(
     return f"{base}/out"
 
 
+def stopped_at(spark: SparkSession, checkpoint: str) -> tuple[list[str], int]:
+    """Where a stopped query's sources stood after its last committed batch, and the watermark.
+
+    An offset is the text that the source itself wrote; a topic's goes into the option
+    `startingOffsets` of a query that goes on from another's state.
+    """
+    files = spark.read.text(f"{checkpoint}/commits").select(F.col("_metadata.file_name")).distinct()
+    last = files.agg(F.max(F.col("file_name").cast("long"))).first()[0]
+    # One small text file: a version, the watermark and settings, a line for each source.
+    lines = spark.read.text(f"{checkpoint}/offsets/{last}", wholetext=True).first()[0].split("\n")
+    return [x for x in lines[2:] if x], json.loads(lines[1])["batchWatermarkMs"]
+
+
 class LateRows(StreamingQueryListener):
     """Counts the rows that each query dropped for coming after its watermark.
 
