@@ -48,7 +48,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         "pipeline-groups")
     rows = cut(
         named.select("id", F.col("doc_id").alias("key")).join(groups, "key"), "pipeline-near")
-    stays = rows.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("stays"))
+    # Written first, so that the join can split the rows of a large group.
+    stays = cut(
+        rows.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("stays")),
+        "pipeline-stays")
     kept = without(docs, cut(
         rows.join(stays, "component_id").where("id <> stays.id OR key <> stays.key").select(
             F.col("id").alias("gone"), F.col("key").alias("gone_key")).distinct(),
