@@ -16,8 +16,11 @@ from tillwater.plans.queries import data_text
 from tillwater.sinks import read_updated, updating_sink
 from tillwater.sources import file_stream, read_route_feed
 from tillwater.streaming.answers import answered
-from tillwater.streaming.firsts import daily_unique_stream, flag_new_visitors_stream
+from tillwater.streaming.firsts import (
+    daily_unique_stream, flag_new_visitors_stream, seen_by)
 from tillwater.streaming.late import with_late
+from tillwater.streaming.runner import stopped_at
+from tillwater.streaming.state import state_variable
 
 T0 = dt.datetime(2024, 3, 1)
 
@@ -98,6 +101,51 @@ def test_state_starts_from_earlier_runs(spark, folder):
     assert rows(unique.filter("tie < 4"), "tie") == [(1,), (2,), (3,)]
 
 
+def test_a_new_checkpoint_goes_on_from_an_old_ones_state(spark, folder):
+    frame = visits(spark, [
+        ("a", DAY, None), ("b", DAY + 1_000, None), ("b", 3 * DAY, None), ("x", 4 * DAY, None),
+        ("a", 4 * DAY + 9_000, None), ("c", 4 * DAY + 9_000, None), ("b", 4 * DAY + 9_500, None),
+        FAR])
+    for part, batches in (("one", [[0, 1], [2], [3]]), ("two", [[4, 5, 6], [7]])):
+        write_batches(frame, f"{folder}/{part}", batches)
+
+    def flags(part, seen=None, partitions=2):
+        pages = file_stream(spark, f"{folder}/{part}", frame.schema, files_per_batch=1)
+        return drain(spark, flag_new_visitors_stream(
+            pages.withWatermark("et", "3 seconds"), "mid", "et", "tie", seen=seen),
+            f"{folder}/flags-{part}", partitions)
+
+    flags("one")
+    offsets, watermark = stopped_at(spark, f"{folder}/flags-one/checkpoint")
+    # The query reads its input twice: for first records and for all.
+    assert offsets == ['{"logOffset":2}'] * 2 and watermark == 4 * DAY - 3_000
+    seen = seen_by(spark, f"{folder}/flags-one/checkpoint", "mid")
+    assert rows(seen, "mid", "day") == [("a", None), ("b", None)]
+    assert rows(flags("two", seen, 5).filter("tie < 7"), "tie", "is_new") == [
+        (4, 0), (5, 1), (6, 0)]
+    with pytest.raises(ValueError):
+        state_variable(spark, f"{folder}/flags-one/checkpoint", "nothing")
+
+
+def test_days_seen_by_an_old_checkpoint(spark, folder):
+    frame = visits(spark, [
+        ("a", DAY, None), ("b", DAY + 1_000, None), ("x", DAY + 60_000, None),
+        ("a", DAY + 90_000, None), ("c", DAY + 90_000, None), ("b", 2 * DAY, None), FAR])
+    for part, batches in (("one", [[0, 1], [2]]), ("two", [[3, 4, 5], [6]])):
+        write_batches(frame, f"{folder}/{part}", batches)
+
+    def unique(part, seen=None):
+        pages = file_stream(spark, f"{folder}/{part}", frame.schema, files_per_batch=1)
+        return drain(spark, daily_unique_stream(
+            pages.withWatermark("et", "3 seconds"), "mid", "et", "tie", seen=seen),
+            f"{folder}/unique-{part}")
+
+    unique("one")
+    seen = seen_by(spark, f"{folder}/unique-one/checkpoint", "mid")
+    assert rows(seen) == [("a", dt.date(1970, 1, 2)), ("b", dt.date(1970, 1, 2))]
+    assert rows(unique("two", seen).filter("tie < 6"), "tie") == [(4,), (5,)]
+
+
 # --- facts that wait --------------------------------------------------------
 
 FACTS = "id long, k string, et timestamp, more struct<x:string>"

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tillwater.functions import micros
+from tillwater.streaming.state import state_variable
 
 #: What became of a fact.
 MET, WAITED_OUT = "met", "waited out"
@@ -167,24 +168,16 @@ def answered(
     ).select("f.*", "answer", "outcome")
 
 
-def waiting_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
-    """What a stopped query of `answered` knows and holds, a row for each answer and fact.
-
-    `operator` is the operator's number among the stateful ones of that query.
-    """
-    def variable(name: str) -> DataFrame:
-        return spark.read.format("statestore").option("path", checkpoint).option(
-            "operatorId", operator).option("stateVarName", name).option(
-            "flattenCollectionTypes", "true").load()
-
+def waiting_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a stopped query of `answered` knows and holds, a row for each answer and fact."""
     none = F.lit(0).cast("long")
-    held = variable("held").select(
+    held = state_variable(spark, checkpoint, "held").select(
         "key.key", F.lit(True).alias("is_fact"), F.col("list_element.fact").alias("text"),
         "list_element.ms", "list_element.until", none.alias("us"), none.alias("tie"))
     # Each part of a key has the same answer, or an older one that no fact was held for.
     newest = Window.partitionBy("key.key").orderBy(
         F.col("value.us").desc(), F.col("value.tie").desc())
-    known = variable("known").withColumn("turn", F.row_number().over(newest)).filter(
+    known = state_variable(spark, checkpoint, "known").withColumn("turn", F.row_number().over(newest)).filter(
         "turn = 1").select(
         "key.key", F.lit(False).alias("is_fact"), F.col("value.answer").alias("text"),
         none.alias("ms"), "value.until", "value.us", "value.tie")

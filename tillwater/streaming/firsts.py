@@ -14,11 +14,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tillwater.functions import day_of
 from tillwater.streaming.answers import JSON, answered
+from tillwater.streaming.state import state_variable
 
 # No leading underscores: the state runner would rename such columns.
 _OUT = ["first_key", "first_us", "first_tie", "first_wt", "first_row"]
@@ -109,6 +110,18 @@ def _firsts(
     )
 
 
+def seen_by(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
+    """The visitors, in column `key`, that a stopped query of this module let through.
+
+    For daily visitors `day` is the last day on which each was there. Give it as `seen` to
+    a query on a new checkpoint. Windows that were open as the query stopped are not
+    in it: the new query's input begins where the watermark stood (`runner.stopped_at`).
+    """
+    known = state_variable(spark, checkpoint, "open").select(
+        F.col("key.first_key").alias(key), F.col("value.scope").alias("scope"))
+    return known.select(key, F.try_to_date("scope").alias("day"))
+
+
 def daily_unique_stream(
     pages: DataFrame, key: str, ts: str, tie: str, window: str = "5 seconds",
     tz: str | None = None, seen: DataFrame | None = None,
