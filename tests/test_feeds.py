@@ -1,8 +1,13 @@
 """Late rows, waiting facts, seeded state, early results and config feeds over waves of input."""
 
 import datetime as dt
+import json
+import os
+import time
 
+import pyarrow as pa
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import rows, visits
@@ -13,13 +18,14 @@ from tillwater.operators.changes import clean_changes, match_routes, route, rout
 from tillwater.operators.firsts import flag_new_visitors
 from tillwater.plans.feeds import Waves, _closing
 from tillwater.plans.queries import data_text
-from tillwater.sinks import read_updated, updating_sink
+from tillwater.sinks import hidden, once_sink, read_once, read_updated, updating_sink
+from tillwater.sinks.once import OnceWriter, Written
 from tillwater.sources import file_stream, read_route_feed
 from tillwater.streaming.answers import answered
 from tillwater.streaming.firsts import (
     daily_unique_stream, flag_new_visitors_stream, seen_by)
 from tillwater.streaming.late import with_late
-from tillwater.streaming.runner import stopped_at
+from tillwater.streaming.runner import start, stopped_at
 from tillwater.streaming.state import state_variable
 
 T0 = dt.datetime(2024, 3, 1)
@@ -210,6 +216,53 @@ def test_open_windows_show_and_end_as_the_append_form(spark, folder):
     assert rows(read_updated(spark, path, keys, wanted), "keyword", "ct") == [("c", 2)]
 
 
+# --- append once ------------------------------------------------------------
+
+
+def test_a_failed_and_retried_batch_appends_each_row_once(spark, folder):
+    """Half of the tasks write their files before one fails; then the query goes on."""
+    rows_in = spark.range(0, 4_000, 1, 4).withColumn("left_out", F.lit("x"))
+    rows_in.write.parquet(f"{folder}/in")
+    stream = file_stream(spark, f"{folder}/in", rows_in.schema)
+    marker = f"{folder}/mended"
+
+    def fails_late(batches):
+        for batch in batches:
+            if 3_500 in batch.column(0).to_pylist() and not os.path.exists(marker):
+                time.sleep(2)
+                raise RuntimeError("lost a task")
+            yield batch
+
+    def run_once(checkpoint="checkpoint"):
+        out = stream.mapInArrow(fails_late, stream.schema).select(
+            "id", hidden(F.col("left_out"), "left_out"))
+        start(spark, once_sink(out, f"{folder}/out"), f"{folder}/{checkpoint}", drain=True
+              ).awaitTermination()
+
+    schema = stream.select("id").schema
+    with pytest.raises(StreamingQueryException):
+        run_once()
+    assert read_once(spark, f"{folder}/out", schema).count() == 0
+    with open(marker, "w"):
+        pass
+    run_once()
+    assert rows(read_once(spark, f"{folder}/out", schema)) == rows(rows_in.select("id"))
+    # Going on without new input adds nothing; another query counts its batches itself.
+    run_once()
+    run_once("checkpoint-2")
+    assert read_once(spark, f"{folder}/out", schema).count() == 8_000
+
+
+def test_a_batch_committed_twice_counts_once(folder):
+    writer = OnceWriter(f"{folder}/out", "run")
+    first, second = (writer.write(iter([pa.record_batch({"id": [1, 2]})])) for _ in range(2))
+    writer.commit([first, Written(None, 0)], 7)
+    writer.commit([second, None], 7)
+    with open(f"{folder}/out/_commits/run-7.json") as file:
+        assert json.load(file) == {"run": "run", "batch": 7, "files": [first.file], "rows": 2}
+    assert os.listdir(f"{folder}/out/data") == [first.file]
+
+
 # --- config as a feed -------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwater.plans.oracle import CHANGE_CTES, PAGE_CTES, SQL, _hour_bounds, _with
+from tillwater.plans.oracle import CHANGE_CTES, PAGE_CTES, SQL, _hour_bounds, _with, _WORDS
 
 _PAGES = _with(PAGE_CTES)
 _HALF = "(SELECT (1 + max(doc_id)) / 2.0 FROM documents)"
@@ -62,6 +62,13 @@ SELECT 'end' AS shown, * FROM ({_WORDS_BY_WINDOW})
 UNION ALL
 SELECT 'half-way', * FROM ({_WORDS_BY_WINDOW.replace(
     'FROM documents', f'FROM documents WHERE doc_id < {_HALF}', 1)})""",
+    "append_once_stream": f"""{_PAGES}
+SELECT {_hour_bounds('et')}, vc, ch, ar, is_new, 0 AS uv_ct, count(*) AS pv_ct,
+       sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS sv_ct, 0 AS uj_ct,
+       sum(during_time) AS dur_sum
+FROM pages GROUP BY ALL""",
+    "memory_words_stream": f"""SELECT lang, count(*) AS n_words
+FROM (SELECT doc_id, lang, {_WORDS.format('text')} AS word FROM documents) GROUP BY lang""",
     "late_dim_column_stream": SQL["upserted_dims_stream"],
 }
 # Going on from another query's state changes no answer.
