@@ -10,6 +10,9 @@ from tillwater import schemas
 from tillwater.operators import dashboard as dash, measures as m, stats
 from tillwater.operators.parsing import parse_json
 from tillwater.sources import literal_records
+from tillwater.sinks import file_sink
+from tillwater.sources import file_stream
+from tillwater.streaming.runner import start
 
 
 def page(mid="1", ts=1_000, last=None, item=None, item_type=None, during=10, page_id="home"):
@@ -205,3 +208,23 @@ def test_a_day_reaches_the_scan(spark):
     text = dash.gmv_day(lines, dt.date(1998, 6, 1))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in text and "LessThan(l_shipdate" in text
     assert "ReadSchema: struct<l_extendedprice:double,l_shipdate:timestamp_ntz>" in text
+
+
+def test_distinct_orders_over_windows(spark, folder):
+    """An order in two windows, or of two products, counts once; batch as on a stream."""
+    data = [(1, 7, 1), (1, 7, 2), (1, 8, 9), (32_768, 7, 3), (32_769, 7, 8), (-5, 7, 8),
+            (None, 7, 8), (40_000, 9, 9)]
+    lines = spark.createDataFrame(data, "order_id long, sku_id long, s long").withColumn(
+        "et", F.timestamp_seconds("s"))
+    bits = stats.order_bits(lines, ["sku_id"])
+    assert rows(stats.distinct_orders(bits, ["sku_id"])) == [(7, 4), (8, 1), (9, 1)]
+    assert rows(stats.distinct_orders(bits, ["stt"])) == [
+        ("1970-01-01 00:00:00", 2), ("1970-01-01 00:00:05", 4)]
+    far = spark.createDataFrame([(9, 9, 10**9)], "order_id long, sku_id long, s long")
+    lines.drop("et").unionByName(far).write.parquet(f"{folder}/in")
+    stream = file_stream(spark, f"{folder}/in", far.schema).withColumn(
+        "et", F.timestamp_seconds("s"))
+    start(
+        spark, file_sink(stats.order_bits(stream, ["sku_id"]), f"{folder}/out"),
+        f"{folder}/checkpoint", drain=True, state_partitions=2).awaitTermination()
+    assert rows(spark.read.parquet(f"{folder}/out").select(*bits.columns)) == rows(bits)

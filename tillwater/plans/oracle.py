@@ -332,6 +332,14 @@ SELECT {_hour_bounds('et')}, keyword, 'search' AS source, count(*) AS ct FROM fo
     "lateral_keywords": f"{_INTERACTIONS}, {PRODUCT_WORD_CTES} SELECT * FROM product_words",
     "lateral_table_functions": f"""{_INTERACTIONS}, {PRODUCT_WORD_CTES}
 SELECT form, product_words.* FROM product_words, (VALUES ('comma'), ('join')) f(form)""",
+    "orders_by_brand_exact": f"""{_with(DIM_CTES)},
+lines AS (
+  SELECT l_orderkey, tm_id, epoch(CAST(l_shipdate AS TIMESTAMP))::BIGINT // 2592000 AS w
+  FROM lineitem LEFT JOIN sku ON l_partkey = sku_id
+), windows AS (SELECT tm_id, w, count(DISTINCT l_orderkey) AS n FROM lines GROUP BY ALL)
+SELECT tm_id, order_ct, sum_of_windows
+FROM (SELECT tm_id, count(DISTINCT l_orderkey) AS order_ct FROM lines GROUP BY ALL)
+JOIN (SELECT tm_id, sum(n) AS sum_of_windows FROM windows GROUP BY ALL) USING (tm_id)""",
     "dynamic_records": f"""{_PAGES}
 SELECT 'record' AS output, event_id AS tie, mid, ts, event_type AS tag, 'extra,kind' AS unknown,
        '{{"k":' || k || ',"tags":["' || event_type || '","x"]}}' AS extra FROM logs

@@ -22,7 +22,7 @@ from tillwater.plans.shop import ASOF, DATABASE, JUMP_WITHIN, LINE_LOWER, LINE_U
 from tillwater.session import staged, tune
 from tillwater.sources.streams import literal_records
 
-HOUR, DAY = "1 hour", "1 day"
+HOUR, DAY, MONTH = "1 hour", "1 day", "30 days"
 GMV_DATE = dt.date(1998, 6, 1)
 
 
@@ -458,6 +458,21 @@ def lateral_table_functions(spark, sf_dir):
         for name, tables in forms.items()])
 
 
+def _brand_lines(s: Shop) -> DataFrame:
+    """Order lines with their brand and event time."""
+    named = enrich(s.order_detail(), s.product_dims("trademark"))
+    return named.select("order_id", "tm_id", "et")
+
+
+def orders_by_brand_exact(spark, sf_dir):
+    """Each brand's orders over all windows, once each, beside the sum of its windows."""
+    bits = staged(
+        stats.order_bits(_brand_lines(shop(spark, sf_dir)), ["tm_id"], MONTH), "order_bits")
+    windows = stats.distinct_orders(bits, ["stt", "tm_id"]).groupBy("tm_id").agg(
+        F.sum("order_ct").alias("sum_of_windows"))
+    return stats.distinct_orders(bits, ["tm_id"]).join(windows, "tm_id")
+
+
 def dynamic_records(spark, sf_dir):
     """Log records with fields outside the schema, and documents among them."""
     s = shop(spark, sf_dir)
@@ -541,6 +556,7 @@ BATCH = {
     "source_unpivot": source_unpivot,
     "lateral_keywords": lateral_keywords,
     "lateral_table_functions": lateral_table_functions,
+    "orders_by_brand_exact": orders_by_brand_exact,
     "dynamic_records": dynamic_records,
     "stamped_now": stamped_now,
     "literal_weights": literal_weights,
