@@ -1,5 +1,6 @@
 """Context-tree scores, quality, toxicity and licenses against plain versions."""
 
+import time
 import collections
 import math
 import re
@@ -202,6 +203,30 @@ def test_unreadable_expressions(text):
     assert licenses.read_expression(text)[0] is None
 
 
+@pytest.mark.parametrize("text", [
+    "mit and gpl) x", "((mit) or (a and", "mit or", "(mit", "mit with x and (gpl or b) c", "()", ""])
+def test_expressions_end_at_the_last_complete_place(text):
+    """Against every beginning of the text: the longest that reads whole."""
+    found, end = licenses.read_expression(text)
+    whole = [n for n in range(len(text) + 1) if licenses.complete_tokens(text[:n], 0)[1] == n > 0]
+    tokens = text[: max(whole)] if whole else None
+    assert (found is None) == (not whole)
+    if whole:
+        assert end == max(whole)
+        again, _ = licenses.read_expression(tokens)
+        assert (again.labels, again.freedom) == (found.labels, found.freedom)
+
+
+def test_a_long_expression_in_seconds():
+    names = [f"id{n}" for n in range(100_000)]
+    began = time.perf_counter()
+    nested = "(" * 50_000 + "mit" + " or gpl)" * 50_000
+    assert licenses.read_expression(nested)[0].labels == {"mit", "gpl"}
+    found, end = licenses.read_expression(" and ".join(names))
+    assert found.labels == set(names) and found.freedom == licenses.NEUTRAL
+    assert end == len(" and ".join(names)) and time.perf_counter() - began < 10
+
+
 def test_license_tags_in_texts(spark):
     docs = spark.createDataFrame(
         [(1, "// SPDX-License-Identifier: MIT OR GPL-2.0+\nint x;"),

@@ -94,54 +94,69 @@ def family(identifier: str) -> float:
     return NEUTRAL
 
 
-def combined(operator: str, left: Terms, right: Terms) -> Terms:
-    labels = left.labels | right.labels
+def combined(operator: str, left: float, right: float) -> float:
     if operator == "or":
-        return Terms(labels, max(left.freedom, right.freedom))
+        return max(left, right)
     if operator == "and":
-        return Terms(labels, min(left.freedom, right.freedom))
-    return Terms(labels, min(1.0, left.freedom + EXCEPTION_BONUS))
+        return min(left, right)
+    return min(1.0, left + EXCEPTION_BONUS)
+
+
+def complete_tokens(text: str, at: int) -> tuple[list[str], int]:
+    """The tokens of the longest complete expression from `at`, and its end."""
+    tokens: list[str] = []
+    depth, whole, end, wants_operand = 0, 0, at, True
+    while token := TOKEN.match(text, at):
+        bracket, word = token.groups()
+        if wants_operand and bracket == "(":
+            depth += 1
+        elif wants_operand and word and word not in PRECEDENCE:
+            wants_operand = False
+        elif not wants_operand and bracket == ")" and depth:
+            depth -= 1
+        elif not wants_operand and word in PRECEDENCE:
+            wants_operand = True
+        else:
+            break
+        tokens.append(bracket or word)
+        at = token.end()
+        if not wants_operand and not depth:
+            whole, end = len(tokens), at
+    return tokens[:whole], end
 
 
 def read_expression(text: str, at: int = 0) -> tuple[Terms | None, int]:
-    """The longest readable expression from `at`; None if there is none. Also its end."""
-    operands: list[Terms] = []
+    """The longest readable expression from `at`; None if there is none. Also its end.
+
+    Each token is read once and each operator applied once, however long it is.
+    """
+    tokens, end = complete_tokens(text, at)
+    operands: list[float] = []
     operators: list[str] = []
-    best: tuple[Terms | None, int] = (None, at)
-    wants_operand = True
+    labels: set[str] = set()
 
-    def reduce_top(values: list[Terms], pending: list[str]) -> None:
-        right = values.pop()
-        values.append(combined(pending.pop(), values.pop(), right))
+    def reduce_top() -> None:
+        right = operands.pop()
+        operands.append(combined(operators.pop(), operands.pop(), right))
 
-    while token := TOKEN.match(text, at):
-        bracket, word = token.groups()
-        if wants_operand:
-            if bracket == "(":
-                operators.append("(")
-            elif word and word not in PRECEDENCE:
-                operands.append(Terms({word.rstrip(".")}, family(word.rstrip("."))))
-                wants_operand = False
-            else:
-                break
-        elif bracket == ")" and "(" in operators:
+    for token in tokens:
+        if token == "(":
+            operators.append(token)
+        elif token == ")":
             while operators[-1] != "(":
-                reduce_top(operands, operators)
+                reduce_top()
             operators.pop()
-        elif word in PRECEDENCE:
-            while operators and PRECEDENCE.get(operators[-1], 0) >= PRECEDENCE[word]:
-                reduce_top(operands, operators)
-            operators.append(word)
-            wants_operand = True
+        elif token in PRECEDENCE:
+            while operators and PRECEDENCE.get(operators[-1], 0) >= PRECEDENCE[token]:
+                reduce_top()
+            operators.append(token)
         else:
-            break
-        at = token.end()
-        if not wants_operand and "(" not in operators:
-            values, pending = operands[:], operators[:]
-            while pending:
-                reduce_top(values, pending)
-            best = (values[-1], at)
-    return best
+            identifier = token.rstrip(".")
+            labels.add(identifier)
+            operands.append(family(identifier))
+    while operators:
+        reduce_top()
+    return (Terms(labels, operands[0]) if operands else None), end
 
 
 def automaton(patterns: dict[str, object]) -> ahocorasick.Automaton:
