@@ -1,6 +1,7 @@
 """Mixing, chat formatting and nearest neighbours."""
 
 import hashlib
+import time
 
 import duckdb
 import numpy as np
@@ -30,7 +31,7 @@ def test_same_answer_as_sql(spark, name):
 
 def test_one_query_for_each_operator():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def mixed(spark, docs, **options):
@@ -116,6 +117,36 @@ def test_parts(spark):
     assert len(r["loss_spans"]) == 2
 
 
+def test_spans_are_the_learned_bodies(spark):
+    """Both ways to find a span: in the whole text, and in its turn."""
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "é𝄞 <|end|> x"), (1, 1, "assistant", "𝄞𝄞 [ok] & <b>"), (1, 2, "assistant", ""),
+         (1, 3, "user", ""), (1, 4, "assistant", "last\nline")],
+        "conv_id long, turn long, role string, text string")
+    r = chat.format_chat(turns).select(
+        "*", chat.cut_chat(F.col("formatted")).alias("pieces")).first()
+    bodies = []
+    for s in r["loss_spans"]:
+        whole = r["formatted"][s["start"] - 1 : s["start"] - 1 + s["length"]]
+        assert r["pieces"][s["turn"] - 1][s["place"] - 1 :] == whole
+        assert len(whole) == s["length"]
+        bodies.append(whole)
+    assert [s["turn"] for s in r["loss_spans"]] == [2, 3, 5] and bodies[1:] == ["", "last\nline"]
+
+
+def test_a_long_conversation_in_seconds(spark):
+    n = 16_000
+    turns = spark.range(n).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.repeat(F.lit("ab<é "), 56).alias("text"))
+    began = time.perf_counter()
+    r = chat.chat_digest(chat.format_chat(turns)).first()
+    assert time.perf_counter() - began < 40
+    assert (r["n_turns"], r["loss_chars"]) == (n, n // 2 * 280)
+    assert r["loss_sha256"] == hashlib.sha256(("ab<é " * 56 * (n // 2)).encode()).hexdigest()
+
+
 def test_odd_turns(spark):
     rows = [(None, None, None, None), (None, 1, "user", "x"), (2, 1, "b", "y"), (2, 1, "a", "y"),
             (2, 1, "a", "x"), (2, 1, "a", "x")]

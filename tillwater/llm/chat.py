@@ -82,7 +82,8 @@ def format_chat(
 
     `turns` has conv_id, turn, role and either text or, if `parts` names one, a column of
     part lists. `loss_spans` holds (start, length) in code points, start from 1, of the
-    bodies of turns whose role is in `learn_from`.
+    bodies of turns whose role is in `learn_from`, and where that is in the turns: the
+    number of the turn and the place in it, both from 1.
     """
     content = F.col(parts).cast(f"array<{PART}>") if parts else text_part(F.col("text"))
     flat = turns.select(
@@ -120,6 +121,8 @@ def format_chat(
     span = F.struct(
         (F.col("before") + F.char_length("head") + 1).cast("int").alias("start"),
         F.char_length("body").cast("int").alias("length"),
+        F.col("at").cast("int").alias("turn"),
+        (F.char_length("head") + 1).cast("int").alias("place"),
     )
     gathered = placed.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct(
@@ -136,9 +139,18 @@ def format_chat(
     )
 
 
+def cut_chat(formatted: Column) -> Column:
+    """The turns of a formatted text as they stand in it, without their ends."""
+    return F.filter(F.split(formatted, r"<\|end\|>\n"), lambda p: p != "")
+
+
 def read_chat(formatted: Column) -> Column:
     """The turns of a formatted text as structs of role and text."""
-    parts = F.filter(F.split(formatted, r"<\|end\|>\n"), lambda p: p != "")
+    return read_turns(cut_chat(formatted))
+
+
+def read_turns(pieces: Column) -> Column:
+    """The turns that `cut_chat` found as structs of role and text."""
 
     def turn(piece: Column) -> Column:
         bare = F.substring(piece, F.lit(len(TURN) + 1), F.char_length(piece))
@@ -148,16 +160,23 @@ def read_chat(formatted: Column) -> Column:
             unescaped(F.substring(bare, cut + 1, F.char_length(bare))).alias("text"),
         )
 
-    return F.transform(parts, turn)
+    return F.transform(pieces, turn)
 
 
 def chat_digest(formatted: DataFrame) -> DataFrame:
-    """Digests read back from the formatted text and its loss spans."""
-    read = formatted.withColumn("turns", read_chat(F.col("formatted"))).withColumn(
+    """Digests read back from the formatted text and its loss spans.
+
+    A span is looked up in its turn: counting characters from the start of a long
+    conversation for every span would grow with the square of its length.
+    """
+    # Unpacked by a generator, so that the text is cut once and not for every span.
+    cut = formatted.select(
+        "*", F.explode(F.array(cut_chat(F.col("formatted")))).alias("_pieces"))
+    read = cut.withColumn("turns", read_turns(F.col("_pieces"))).withColumn(
         "loss",
         F.array_join(
-            F.transform("loss_spans", lambda s: unescaped(
-                F.substring(F.col("formatted"), s["start"], s["length"]))), ""))
+            F.transform("loss_spans", lambda s: unescaped(F.substring(
+                F.get("_pieces", s["turn"] - 1), s["place"], s["length"]))), ""))
     lines = F.transform(
         "turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return read.select(
