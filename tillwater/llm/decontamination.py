@@ -10,10 +10,12 @@ Everything is a DataFrame expression.
 Benchmark tables of up to MOST_BROADCAST words are broadcast; document words then stream
 through two hash joins without a shuffle, the first of which drops places whose first
 word no item has. Larger benchmarks are joined by shuffled seeds, with equal results.
-Only documents with a hit are looked at again, to verify along the diagonals.
+Only documents with a hit are looked at again, to verify along the diagonals; the others'
+texts are not shuffled.
 
 Defined cases: null texts are empty; texts and items of fewer than SEED_WORDS words have
-no seeds and no hits; repeated rows with one doc_id count as one document that has the
+no seeds and no hits, and items of fewer than LEAST_SCORE words cannot reach that score, so
+neither are reported; repeated rows with one doc_id count as one document that has the
 words of each; repeated item rows likewise; rows with a null id are left out; further
 columns are never read; an empty benchmark finds nothing.
 """
@@ -143,8 +145,12 @@ def contaminated(
     join = hits_by_broadcast if n_words <= most_broadcast else hits_by_shuffle
     hits = cut(join(worded, items, seeds).distinct(), "decontamination-hits")
     size = F.size("item_words")
+    # Only texts with a hit are looked at again: few ids, which Spark broadcasts by their size.
     # The text is joined, not its words, which take more than twice the bytes.
-    again = hits.join(items, "item_id").join(named, "doc_id").withColumn("words", words_of("text"))
+    marked = cut(hits.select("doc_id").distinct(), "decontamination-marked")
+    suspects = named.join(marked, "doc_id", "left_semi")
+    again = suspects.join(hits.join(items, "item_id"), "doc_id").withColumn(
+        "words", words_of("text"))
     scored = again.select(
         "doc_id", "item_id", size.alias("n_item_words"),
         best_stretch(F.col("words"), F.col("item_words"), F.col("diagonal")).alias("score"))
