@@ -39,8 +39,7 @@ class Waiting(StatefulProcessor):
         held = initialState[initialState["is_fact"]]
         if len(held):
             self._held.appendList(_listed(held))
-            for until in held["until"].unique():
-                self._handle.registerTimer(int(until))
+            self._handle.registerTimer(int(held["until"].min()))
         known = initialState[~initialState["is_fact"]]
         if len(known):
             row = known.iloc[0]
@@ -58,7 +57,7 @@ class Waiting(StatefulProcessor):
             if len(changes):
                 both = changes if newest is None else pd.concat([newest, changes])
                 newest = both.sort_values(["us", "tie"]).tail(1)
-        known = self._known.get() if self._known.exists() else None
+        known = self._known.get()
         come = pd.concat(facts) if facts else pd.DataFrame(columns=_FACT)
         if newest is not None:
             change = newest.iloc[0]
@@ -87,18 +86,23 @@ class Waiting(StatefulProcessor):
             come = come[~over]
         if len(come):
             self._held.appendList(_listed(come))
-            for until in come["until"].unique():
-                self._handle.registerTimer(int(until))
+            # One timer for the first of them; it sets the next.
+            self._handle.registerTimer(int(come["until"].min()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        if self._known.exists() and self._known.get()[3] <= due:
+        now = timerValues.getCurrentWatermarkInMs()
+        known = self._known.get()
+        if known is not None and known[3] <= now:
             self._known.clear()
         held = list(self._held.get()) if self._held.exists() else []
-        over = [fact for fact, _, until in held if until <= due]
+        over = [fact for fact, _, until in held if until <= now]
         if over:
-            rest = [f for f in held if f[2] > due]
-            self._held.put(rest) if rest else self._held.clear()
+            rest = [f for f in held if f[2] > now]
+            if rest:
+                self._held.put(rest)
+                self._handle.registerTimer(min(f[2] for f in rest))
+            else:
+                self._held.clear()
             yield _left(over, None, WAITED_OUT)
 
     def close(self) -> None:
