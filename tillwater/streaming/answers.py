@@ -23,7 +23,7 @@ MET, WAITED_OUT = "met", "waited out"
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _OUT = ["fact", "answer", "outcome"]
 _OUT_SCHEMA = "fact string, answer string, outcome string"
-_FACT = ["text", "ms", "until"]
+_IN = ["is_fact", "text", "ms", "until", "us", "tie"]
 _FOREVER = (1 << 62) // 1000
 
 
@@ -36,58 +36,55 @@ class Waiting(StatefulProcessor):
         self._held = handle.getListState("held", "fact string, ms long, until long")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        held = initialState[initialState["is_fact"]]
-        if len(held):
-            self._held.appendList(_listed(held))
-            self._handle.registerTimer(int(held["until"].min()))
-        known = initialState[~initialState["is_fact"]]
-        if len(known):
-            row = known.iloc[0]
-            self._known.update((row["text"], int(row["us"]), int(row["tie"]), int(row["until"])))
-            if row["until"] < _FOREVER:
-                self._handle.registerTimer(int(row["until"]))
+        rows = _records(initialState, _IN)
+        held = [(text, int(ms), int(until)) for is_fact, text, ms, until, _, _ in rows if is_fact]
+        if held:
+            self._held.appendList(held)
+            self._handle.registerTimer(min(f[2] for f in held))
+        known = [row for row in rows if not row[0]]
+        if known:
+            _, text, _, until, us, tie = known[0]
+            self._known.update((text, int(us), int(tie), int(until)))
+            if until < _FOREVER:
+                self._handle.registerTimer(int(until))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # Plain lists: a key's rows are few, and pandas costs more than the work on them.
         now = timerValues.getCurrentWatermarkInMs()
-        facts, newest = [], None
+        come, newest = [], None
         # A batch's changes count before its facts, in whatever order they come.
         for frame in rows:
-            facts.append(frame.loc[frame["is_fact"], _FACT])
-            changes = frame[~frame["is_fact"]]
-            if len(changes):
-                both = changes if newest is None else pd.concat([newest, changes])
-                newest = both.sort_values(["us", "tie"]).tail(1)
+            for is_fact, text, ms, until, us, tie in _records(frame, _IN):
+                if is_fact:
+                    come.append((text, ms, until))
+                elif newest is None or (newest[1], newest[2]) <= (us, tie):
+                    newest = (text, us, tie, until)
         known = self._known.get()
-        come = pd.concat(facts) if facts else pd.DataFrame(columns=_FACT)
+        out: list[tuple[str, str | None, str]] = []
         if newest is not None:
-            change = newest.iloc[0]
-            if known is None or (known[1], known[2]) <= (change["us"], change["tie"]):
-                known = (change["text"], int(change["us"]), int(change["tie"]),
-                         int(change["until"]))
+            if known is None or (known[1], known[2]) <= (newest[1], newest[2]):
+                known = newest
                 if known[3] > now:
                     self._known.update(known)
                     if known[3] < _FOREVER:
                         self._handle.registerTimer(known[3])
             if self._held.exists():
-                held = pd.DataFrame(list(self._held.get()), columns=_FACT)
-                served = held["ms"] < known[3]
-                if served.any():
-                    yield _left(held.loc[served, "text"], known[0], MET)
-                    rest = held[~served]
-                    self._held.put(_listed(rest)) if len(rest) else self._held.clear()
+                held = list(self._held.get())
+                rest = [f for f in held if f[1] >= known[3]]
+                if len(rest) < len(held):
+                    out += [(f[0], known[0], MET) for f in held if f[1] < known[3]]
+                    self._held.put(rest) if rest else self._held.clear()
         if known is not None:
-            served = come["ms"] < known[3]
-            if served.any():
-                yield _left(come.loc[served, "text"], known[0], MET)
-                come = come[~served]
-        over = come["until"] <= now
-        if over.any():
-            yield _left(come.loc[over, "text"], None, WAITED_OUT)
-            come = come[~over]
-        if len(come):
-            self._held.appendList(_listed(come))
+            out += [(f[0], known[0], MET) for f in come if f[1] < known[3]]
+            come = [f for f in come if f[1] >= known[3]]
+        out += [(f[0], None, WAITED_OUT) for f in come if f[2] <= now]
+        come = [f for f in come if f[2] > now]
+        if come:
+            self._held.appendList(come)
             # One timer for the first of them; it sets the next.
-            self._handle.registerTimer(int(come["until"].min()))
+            self._handle.registerTimer(min(f[2] for f in come))
+        if out:
+            yield pd.DataFrame(out, columns=_OUT)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
@@ -109,10 +106,9 @@ class Waiting(StatefulProcessor):
         pass
 
 
-def _listed(facts: pd.DataFrame) -> list[tuple[str, int, int]]:
-    return [
-        (t, int(m), int(u))
-        for t, m, u in zip(facts["text"], facts["ms"], facts["until"], strict=True)]
+def _records(frame: pd.DataFrame, columns: list[str]) -> list[tuple]:
+    """The frame's rows as tuples of plain Python values."""
+    return list(zip(*(frame[c].tolist() for c in columns)))
 
 
 def _left(facts, answer: str | None, outcome: str) -> pd.DataFrame:
