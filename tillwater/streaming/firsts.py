@@ -18,13 +18,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tillwater.functions import day_of
-from tillwater.streaming.answers import JSON, answered
-from tillwater.streaming.state import state_variable
+from tillwater.streaming.answers import JSON, STATES, answered
+from tillwater.streaming.state import Chunks, chunk_rows, has_variable, state_variable
 
 # No leading underscores: the state runner would rename such columns.
 _OUT = ["first_key", "first_us", "first_tie", "first_wt", "first_row"]
 _OUT_SCHEMA = "first_key string, first_us long, first_tie long, first_wt timestamp, first_row string"
 _EVER = "ever"
+# Chunks of visitors in a state, after which they are put together again.
+_MANY_CHUNKS = 16
 # A day is over by then, in any zone and with any clock change.
 _DAY_STATE_MS = 2 * 86_400_000
 
@@ -85,12 +87,49 @@ class FirstInScope(StatefulProcessor):
         pass
 
 
+class FirstEver(StatefulProcessor):
+    """Lets each visitor's earliest window through, once, for all visitors of a bucket.
+
+    The state holds chunks of the visitors let through; a batch adds one for its new ones.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._open = Chunks(handle.getListState("open_chunks", Chunks.SCHEMA))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._open.add([(k,) for k in initialState["first_key"].drop_duplicates().tolist()])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # Kept up frame by frame: a long backlog never stands in memory as a whole.
+        earliest = None
+        for frame in rows:
+            both = frame if earliest is None else pd.concat([earliest, frame])
+            earliest = both.sort_values(["first_us", "first_tie"]).drop_duplicates("first_key")
+        if earliest is None:
+            return
+        known, chunks = self._open.read()
+        known = {row[0] for row in known}
+        fresh = [k not in known for k in earliest["first_key"].tolist()]
+        opened = earliest[fresh]
+        if len(opened):
+            new = [(k,) for k in opened["first_key"].tolist()]
+            if chunks >= _MANY_CHUNKS:
+                self._open.put([(k,) for k in known] + new)
+            else:
+                self._open.add(new)
+            yield opened[_OUT]
+
+    def close(self) -> None:
+        pass
+
+
 def _firsts(
-    pages: DataFrame, key, ts, tie, window, scope, row, keep_ms=None, seen=None,
+    pages: DataFrame, key, ts, tie, window, scope, row, keep_ms=None, seen=None, states=None,
 ) -> DataFrame:
     """(key, time, tie, row as text) of each visitor's first record of each scope.
 
-    `seen` (first_key, scope, until) is what the state knows before the first record.
+    `seen` (first_key, scope, until) is what the state knows before the first record. With
+    `states` there is one scope, and the visitors share that many states.
     """
     order = F.struct(F.unix_micros(ts).alias("first_us"), F.col(tie).cast("long").alias("first_tie"))
     per_window = pages.groupBy(
@@ -103,9 +142,15 @@ def _firsts(
         F.window_time("_w").alias("first_wt"),
         F.to_json("_record", JSON).alias("first_row"),
     )
-    return windows.groupBy("first_key").transformWithStateInPandas(
-        FirstInScope(keep_ms), _OUT_SCHEMA, "Append", "EventTime",
-        initialState=None if seen is None else seen.groupBy("first_key"),
+    processor, by = FirstInScope(keep_ms), "first_key"
+    if states is not None:
+        processor, by = FirstEver(), "bucket"
+        bucket = F.pmod(F.xxhash64("first_key"), F.lit(states)).cast("int")
+        windows = windows.withColumn(by, bucket)
+        seen = None if seen is None else seen.withColumn(by, bucket)
+    return windows.groupBy(by).transformWithStateInPandas(
+        processor, _OUT_SCHEMA, "Append", "EventTime",
+        initialState=None if seen is None else seen.groupBy(by),
         eventTimeColumnName="first_wt",
     )
 
@@ -117,6 +162,9 @@ def seen_by(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
     a query on a new checkpoint. Windows that were open as the query stopped are not
     in it: the new query's input begins where the watermark stood (`runner.stopped_at`).
     """
+    if has_variable(spark, checkpoint, "open_chunks"):
+        return chunk_rows(spark, checkpoint, "open_chunks", "first_key string").select(
+            F.col("first_key").alias(key), F.lit(None).cast("date").alias("day"))
     known = state_variable(spark, checkpoint, "open").select(
         F.col("key.first_key").alias(key), F.col("value.scope").alias("scope"))
     return known.select(key, F.try_to_date("scope").alias("day"))
@@ -147,6 +195,7 @@ def daily_unique_stream(
 def flag_new_visitors_stream(
     pages: DataFrame, key: str, ts: str, tie: str, flag: str = "is_new",
     window: str = "5 seconds", seen: DataFrame | None = None, spread: int = 4,
+    states: int | None = STATES,
 ) -> DataFrame:
     """Every record with `flag` 1 on its visitor's earliest one and 0 elsewhere.
 
@@ -155,7 +204,7 @@ def flag_new_visitors_stream(
     their window is over; then any that had no answer isn't a first one. So
     none is lost after a quiet time, and late ones leave with 0. `seen` holds the
     visitors (in column `key`) of earlier runs, none of whose records are new.
-    `ts` carries the watermark; the result has none.
+    Visitors share `states` states, or have one each (None); see `answered`. `ts` carries the watermark; the result has none.
     """
     if seen is not None:
         seen = seen.select(
@@ -163,13 +212,14 @@ def flag_new_visitors_stream(
             F.lit(-1).cast("long").alias("until"))
     firsts = _firsts(
         pages, key, ts, tie, window, F.lit(_EVER), F.struct(F.lit(1).alias("one")), seen=seen,
+        states=states,
     ).select("first_key", "first_us", "first_tie")
     rows = pages.drop(flag).withColumn("_event_us", F.unix_micros(ts)).withColumn(
         ts, F.timestamp_micros("_event_us"))
     marked = answered(
         rows, F.col(key), F.col(ts), F.window(ts, window)["end"],
         firsts, F.col("first_key"), (F.timestamp_micros("first_us"), F.col("first_tie")),
-        lifetime="1 day", spread=spread)
+        lifetime="1 day", spread=spread, states=states)
     is_first = (F.col("answer.first_us") == F.col("_event_us")) & (
         F.col("answer.first_tie") == F.col(tie).cast("long"))
     kept = [c for c in pages.columns if c != flag]
