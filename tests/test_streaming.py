@@ -12,6 +12,7 @@ from tillwater.operators.firsts import daily_unique, flag_new_visitors
 from tillwater.operators.jumps import TIMEOUT_ONLY, user_jump
 from tillwater.operators.wide import order_wide
 from tillwater.plans.layers import timed_logs
+from tillwater.session import STATE_SETTINGS, UNCOUNTED, UNSETTLED
 from tillwater.sinks import file_sink, memory_sink
 from tillwater.sources import file_stream
 from tillwater.streaming.firsts import daily_unique_stream, flag_new_visitors_stream
@@ -256,3 +257,28 @@ def test_starting_leaves_the_session_as_it_was(spark, folder):
     query.awaitTermination()
     assert spark.table("numbers").count() == 3
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_an_inner_join_does_without_a_batch_for_its_old_state(spark, folder):
+    """Nor does a drained query count its state rows, and the session stays as it was."""
+    frame = visits(spark, [("a", 1_000, None), ("b", 2_000, None), FAR])
+    frame.write.parquet(f"{folder}/in")
+    left, right = (
+        file_stream(spark, f"{folder}/in", frame.schema).withWatermark("et", "1 second").toDF(
+            *[side + c for c in frame.columns]) for side in "lr")
+    joined = left.join(right, (F.col("lmid") == F.col("rmid")) & F.col("ret").between(
+        F.col("let") - F.expr("INTERVAL 1 SECOND"), F.col("let") + F.expr("INTERVAL 1 SECOND")))
+    settings = {k: spark.conf.get(k, None) for k in (*STATE_SETTINGS, *UNCOUNTED, *UNSETTLED)}
+    batches = {}
+    for settle in (True, False):
+        query = start(
+            spark, file_sink(joined, f"{folder}/out-{settle}"), f"{folder}/checkpoint-{settle}",
+            drain=True, state_partitions=1, count_state=False, settle=settle)
+        query.awaitTermination()
+        batches[settle] = [p["batchId"] for p in query.recentProgress]
+        assert not any(op["numRowsTotal"] > 0 for p in query.recentProgress[:1]
+                       for op in p["stateOperators"])
+    assert rows(spark.read.parquet(f"{folder}/out-True")) == rows(
+        spark.read.parquet(f"{folder}/out-False"))
+    assert max(batches[True]) == 1 and max(batches[False]) == 0
+    assert settings == {k: spark.conf.get(k, None) for k in settings}
