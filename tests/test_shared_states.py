@@ -125,7 +125,7 @@ def test_a_query_goes_on_from_either_layout(spark, layouts):
     """State of shared states and of one state for each key, read by the other."""
     time = lambda s: T0 + dt.timedelta(seconds=s)
     facts = lambda *given: spark.createDataFrame(
-        [(i, k, time(s)) for i, k, s in given], "id long, k string, et timestamp")
+        [(i, k, None if s is None else time(s)) for i, k, s in given], "id long, k string, et timestamp")
     table = lambda *given: spark.createDataFrame(
         [(k, n, time(s), 0) for k, n, s in given],
         "k string, name string, changed timestamp, place long")
@@ -149,11 +149,12 @@ def test_a_query_goes_on_from_either_layout(spark, layouts):
     assert rows(state.filter("is_fact"), "key") == [("b",), ('c"',), (None,)]
     waves, met = query(layouts[1], 3, state)
     waves.add(
-        facts=facts((5, "ä", 5), (6, 'c"', 6)), table=table(("b", "bee", 1), ("ä", "older", 0)))
+        facts=facts((5, "ä", 5), (6, 'c"', 6), (7, "b", None), (8, 'c"', None)), table=table(("b", "bee", 1), ("ä", "older", 0)))
     waves.to_rows(met, 3)
     waves.add(facts=_closing(facts((0, "a", 0)), id=-1, k="end", et=dt.datetime(2200, 1, 1)),
               table=table())
     two = waves.to_rows(met, 3)
     assert rows(two.filter("id > 0"), "id", F.col("answer.name").alias("n"), "outcome") == [
         (2, "bee", "met"), (3, None, "waited out"), (4, None, "waited out"),
-        (5, "new \\ \n", "met"), (6, None, "waited out")]
+        (5, "new \\ \n", "met"), (6, None, "waited out"),
+        (7, "bee", "met"), (8, None, "waited out")]

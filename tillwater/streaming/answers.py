@@ -244,6 +244,9 @@ def answered(
     reads the answers of each state that it touches. A batch's facts of one state are
     held in memory once, and those that wait there, when an answer comes to it.
 
+    A fact without a time doesn't wait: it leaves with the answer known as it comes, or marked.
+    An answer without a time comes before all others.
+
     `resume` is the state of a stopped query (`waiting_state`), from which this one goes
     on, with any `spread` and number of partitions; its inputs begin where the other's
     ended (`runner.stopped_at`).
@@ -269,7 +272,8 @@ def answered(
         ends.alias("until"),
         F.unix_micros(place[0]).alias("us"), place[1].cast("long").alias("tie"),
         F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"))
-    both = asked.unionByName(given)
+    both = asked.unionByName(given).withColumns(
+        {c: F.coalesce(c, F.lit(-_FOREVER)) for c in ("ms", "until", "us", "tie")})
     if resume is not None:
         part = F.when(F.col("is_fact"), F.array(F.pmod(F.xxhash64("text"), F.lit(spread)).cast(
             "int"))).otherwise(F.sequence(F.lit(0), F.lit(spread - 1)))
@@ -277,11 +281,6 @@ def answered(
     if states is None:
         processor, keys = Waiting(), ["key", "part"]
     else:
-        # A time that is not known neither comes before an answer's end nor is waited for,
-        # and a place that is not known comes before all others.
-        both = both.filter("until IS NOT NULL").withColumns({
-            "ms": F.coalesce("ms", F.lit(_FOREVER)),
-            **{c: F.coalesce(c, F.lit(-_FOREVER)) for c in ("us", "tie")}})
         processor, keys = WaitingMany(), ["bucket"]
         bucket = F.pmod(F.xxhash64("key", "part"), F.lit(states)).cast("int")
         both = both.withColumn("bucket", bucket).drop("part")
